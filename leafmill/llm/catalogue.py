@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import mixing, spotsigs, tokens
+from leafmill.llm import decontaminate, html_text, jaccard_join, licenses, mixing, quality, secrets, spotsigs, substrings, tokens
 
 #: Vocabulary of the token counts; a parameter of the operator.
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
@@ -27,6 +27,41 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.near_passages(_table(spark, sf_dir, "documents"))
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_table(spark, sf_dir, "documents"))
+    shown = lambda x: F.concat_ws(":", x["license"], x["start"].cast("string"), x["end"].cast("string"))
+    return found.select("doc_id", F.size("licenses").cast("long").alias("n_licenses"), F.array_join(F.transform("licenses", shown), ",").alias("licenses"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.where(~quality.held_out(labels["doc_id"])))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
+    )
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_components(_table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 OP2_SQL = r"""
 with words as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
@@ -62,7 +97,7 @@ from placed
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_spotsigs, op2_mixing, op3_token_counts)}
+    return {f.__name__: f for f in (op1_spotsigs, op2_mixing, op3_token_counts, op4_substrings, op5_licenses, op6_quality, op7_html_text, op8_jaccard_join, op9_secrets, op10_decontaminate)}
 
 
 def oracle_sql() -> dict:
