@@ -2,7 +2,8 @@
 
 Every DOM node gets a link-adjusted density of characters per tag; a node's density sum adds up its children's
 densities. The node with the largest sum is the core of the article. The smallest density on its path to the body is the
-threshold: nodes that reach it are content too, and the article is the smallest subtree that holds all of them. Elements
+threshold: nodes that reach it are content too, and so are headings beside content; the article is the smallest subtree that holds all of
+them, or the outermost article element around it. Only block elements are candidates. Elements
 that are boilerplate by their tag, role or class (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 comments of readers) are cut from the tree first and never count.
 
@@ -34,6 +35,7 @@ BLOCK = frozenset(
     """address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4
     h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul""".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = BLOCK - {"caption", "tbody", "tfoot", "thead", "tr", "body", "html", "legend"}
 #: An open element that the start of another ends, and where to stop looking for it.
 ENDS = {
@@ -108,6 +110,8 @@ def parse(html: str) -> Node:
         if not tag:
             continue
         tag = tag.lower()
+        if not m["end"] and len(stack) > 1 and stack[1].tag == "head" and (tag == "body" or tag in BLOCK):
+            close(1)  # a head that was not closed
         if tag in ("html", "body"):
             continue
         if m["end"]:
@@ -161,11 +165,11 @@ def article(root: Node) -> Node:
             base = math.log(c / max(1, c - lc) * lc + share * c + math.e)
             if base > 1.0001:  # 1: no links in the page, nothing to adjust
                 node.density *= math.log(max(1.0, c / max(1, lc) * t / lt)) / math.log(base)
-        if node.parent is not None:
+        if node.parent is not None and node.tag in BLOCK:
             node.parent.total += node.density
     if not root.chars:
         return root
-    core = max(nodes, key=lambda n: n.total)
+    core = max((n for n in nodes if n.tag in BLOCK), key=lambda n: n.total)
     path = [core]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
@@ -179,6 +183,10 @@ def article(root: Node) -> Node:
         while id(node) not in depth:
             node = node.parent
         reach = max(reach, depth[id(node)])
+    for i, node in enumerate(path):
+        headed = node.parent is not None and any(isinstance(c, Node) and c.tag in HEADINGS and not c.cut for c in node.children)
+        if node.tag == "article" or headed:
+            reach = max(reach, i)
     return path[reach]
 
 

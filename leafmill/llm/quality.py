@@ -134,7 +134,7 @@ class Model:
         return self.forward((np.concatenate(bags) - self.mean) / self.scale, starts)[0].astype(np.float64)
 
 
-def train(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 24, gate: int = 12, steps: int = 400, rate: float = 0.02, decay: float = 1e-3, seed: int = 11) -> Model:
+def train(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 24, gate: int = 12, steps: int = 250, rate: float = 0.02, decay: float = 1e-3, seed: int = 11) -> Model:
     """Full-batch Adam on the log loss."""
     y = np.asarray(labels, dtype=np.float64)
     if not len(y) or y.min() == y.max():
@@ -184,7 +184,7 @@ def _encodings(batches):
         )
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", max_labelled: int = 6000, **how) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", max_labelled: int = 4000, **how) -> Model:
     """Model of the labelled documents of docs (at most max_labelled, by hash of the id)."""
     arrow_rows(docs.sparkSession)
     known = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("label"))

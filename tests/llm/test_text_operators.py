@@ -158,3 +158,10 @@ def test_html_main_text():
     assert html_text.main_text(None) == "" and html_text.main_text("<p>only &am") == "only &am"
     assert html_text.main_text("<body><p>cut <b") == "cut"
     assert html_text.main_text("<ul><li>a<li>b</ul>") == "a\n\nb"
+
+
+def test_html_short_article_keeps_its_heading():
+    page = "<html><head><title>x</title><body><nav>menu</nav><article><h1>Short head</h1><p><b>Only one paragraph, though a long one, stands here.<br></article><footer>f</footer>"
+    assert html_text.main_text(page) == "Short head\n\nOnly one paragraph, though a long one, stands here."
+    page = '<body><div id="menu"><a href="/">a</a></div><div class="post"><h2>T</h2><div><p>First long paragraph of text, it is.</p><p>Second one.</p></div></div></body>'
+    assert html_text.main_text(page) == "T\n\nFirst long paragraph of text, it is.\n\nSecond one."
