@@ -8,7 +8,7 @@ alignments cover enough of the item's windows; so re-parameterised questions are
 
 Cases: null and empty texts have no windows; items shorter than a window are one window of their own length; windows with
 under half literal words are ignored; items without any window leak nowhere; repeated rows give repeated matches, told
-once for each (doc_id, item_id); null ids are matched like others.
+once for each (doc_id, item_id); rows with a null id take no part, as there is nothing to report or drop them by.
 """
 
 from __future__ import annotations
@@ -73,7 +73,7 @@ def leaks(
     """(doc_id, item_id, matched, n_windows, coverage, n_slots): pairs of which coverage or more of the item is found."""
     docs = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
     items = benchmark.select(benchmark[item_col].alias("item_id"), benchmark[item_text_col].cast("string").alias("text")).dropDuplicates(["item_id", "text"])
-    cut = items.select("item_id", template(F.col("text")).alias("tokens")).where("size(tokens) > 0")
+    cut = items.select("item_id", template(F.col("text")).alias("tokens")).where("item_id is not null and size(tokens) > 0")
     cut = cut.withColumn("length", F.least(F.lit(window), F.size("tokens")))
     by_length = F.transform(F.sequence(F.lit(0), F.size("tokens") - F.col("length")), lambda i: F.slice("tokens", i + 1, F.col("length")))
     cut = cut.select("item_id", "length", F.posexplode(by_length).alias("ipos", "part"))
@@ -85,6 +85,7 @@ def leaks(
     many = hashes.count()
     blocks = -(-many // BLOCK)
 
+    docs = docs.where("doc_id is not null")
     tokens = docs.select("doc_id", template(F.col("text")).alias("tokens"))
     found = None
     for length in lengths:
