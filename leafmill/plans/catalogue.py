@@ -2,10 +2,652 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from leafmill.functions import text as fn
+from leafmill.operators import blocks, chunks, fenced, figures, geometry, lines, merge, tables, vectors
+from leafmill.operators.config import DEFAULT, Config
+from leafmill.plans import oracles as sql
+from leafmill.sources import fixtures, readers, sinks
+
+QUERIES: dict = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLES)
+
+
+def _joined(column: str, by: str = "\x1f") -> F.Column:
+    return F.array_join(column, by).alias(column)
+
+
+def _grid(column: str):
+    return F.array_join(F.transform(column, lambda r: F.array_join(r, "|")), "\n").alias(column)
+
+
+# ---- lines and blocks
+
+
+@query(f"with {sql.LINES} select doc_id, ln, line from lines")
+def md_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return lines.explode_lines(fixtures.markdown(spark, sf)).select("doc_id", "ln", "line")
+
+
+@query(f"with {sql.KINDS} select doc_id, ln, kind from kinds")
+def line_classify(spark: SparkSession, sf: str) -> DataFrame:
+    return lines.classify(lines.explode_lines(fixtures.markdown(spark, sf))).select("doc_id", "ln", "kind")
+
+
+@query(f"with {sql.LINES} select doc_id, ln, char_start, char_end from lines")
+def line_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    return lines.explode_lines(fixtures.markdown(spark, sf)).select("doc_id", "ln", "char_start", "char_end")
+
+
+@query(f"with {sql.BLOCKS} select doc_id, block_id, block_type, content, heading_level::int as heading_level, array_to_string(image_refs, chr(31)) as image_refs, has_formula, char_start, char_end from blocks")
+def md_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    found = blocks.parse(fixtures.markdown(spark, sf))
+    return found.select("doc_id", "block_id", "block_type", "content", "heading_level", _joined("image_refs"), "has_formula", "char_start", "char_end")
+
+
+@query(f"with {sql.BLOCKS} select block_type, count(*) as n from blocks group by block_type")
+def block_type_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return blocks.type_counts(blocks.parse(fixtures.markdown(spark, sf)))
+
+
+@query(f"with {sql.PATHS} select doc_id, block_id, array_to_string(heading_path, ' > ') as heading_path from paths")
+def heading_path(spark: SparkSession, sf: str) -> DataFrame:
+    found = blocks.with_paths(blocks.parse(fixtures.markdown(spark, sf)))
+    return found.select("doc_id", "block_id", F.array_join("heading_path", " > ").alias("heading_path"))
+
+
+@query(f"with {sql.PATHS} select doc_id, block_id, len(heading_path)::int as depth, title from paths where block_type = 'heading'")
+def heading_stack(spark: SparkSession, sf: str) -> DataFrame:
+    found = blocks.with_paths(blocks.parse(fixtures.markdown(spark, sf))).where("block_type = 'heading'")
+    return found.select("doc_id", "block_id", F.size("heading_path").alias("depth"), fn.heading_text(F.col("content")).alias("title"))
+
+
+# ---- scalar functions
+
+
+@query(f"with {sql.LINES} select doc_id, ln, unnest(regexp_extract_all(line, '!\\[([^\\]]*)\\]\\(([^)]+)\\)', 2)) as ref from lines")
+def image_refs(spark: SparkSession, sf: str) -> DataFrame:
+    found = lines.explode_lines(fixtures.markdown(spark, sf))
+    return found.select("doc_id", "ln", F.explode(fn.image_refs(F.col("line"))).alias("ref"))
+
+
+@query(
+    f"""with {sql.LINES} select doc_id, ln, coalesce(nullif(regexp_extract(regexp_extract(line, '!\\[([^\\]]*)\\]\\(([^)]+)\\)', 2), '(?i)page(\\d+)', 1), '')::int,
+    greatest(1, char_start // 3000 + 1)::int)::int as page from lines"""
+)
+def page_inference(spark: SparkSession, sf: str) -> DataFrame:
+    found = lines.explode_lines(fixtures.markdown(spark, sf))
+    return found.select("doc_id", "ln", fn.page_of(fn.image_refs(F.col("line")), F.col("char_start")).alias("page"))
+
+
+@query("select doc_id, greatest(1, length(text) // 4)::int as tokens from documents where text is not null")
+def token_count(spark: SparkSession, sf: str) -> DataFrame:
+    docs = fixtures.read(spark, sf, "documents").where("text is not null")
+    return docs.select("doc_id", fn.approx_tokens(F.col("text")).alias("tokens"))
+
+
+_SENTENCES = r"unnest(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))) as sentence"
+
+
+@query(f"select doc_id, (row_number() over (partition by doc_id order by n) - 1)::int as n, sentence from (select doc_id, {_SENTENCES}, generate_subscripts(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), 1) as n from documents where text is not null)")
+def sentence_explode(spark: SparkSession, sf: str) -> DataFrame:
+    docs = fixtures.read(spark, sf, "documents").where("text is not null")
+    return docs.select("doc_id", F.posexplode(F.split("text", r"(?<=[.!?])\s+")).alias("n", "sentence"))
+
+
+#: Greedy packing as a fold; sentences over the limit don't occur in the packed column, which is cut to short words first.
+_PACK = r"""
+with recursive s as (
+  select doc_id, n, sentence, count(*) over (partition by doc_id) as many from (
+    select doc_id, unnest(list) as sentence, generate_subscripts(list, 1) as n from (select doc_id, string_split(regexp_replace(text, '\s+', ' ', 'g'), ' ') as list from documents where text is not null))
+    where sentence <> ''
+), o as (select doc_id, sentence, row_number() over (partition by doc_id order by n) as i from s),
+f as (
+  select doc_id, i, sentence as held, 0 as piece from o where i = 1
+  union all
+  select o.doc_id, o.i, case when length(f.held) + 1 + length(o.sentence) <= 400 then f.held || ' ' || o.sentence else o.sentence end,
+    case when length(f.held) + 1 + length(o.sentence) <= 400 then f.piece else f.piece + 1 end
+  from f join o on o.doc_id = f.doc_id and o.i = f.i + 1
+)
+select doc_id, piece::int as piece_id, max_by(held, i) as content from f group by doc_id, piece
+"""
+
+
+@query(_PACK)
+def word_hard_split(spark: SparkSession, sf: str) -> DataFrame:
+    docs = fixtures.read(spark, sf, "documents").where("text is not null")
+    flat = docs.select("doc_id", F.trim(F.regexp_replace(F.regexp_replace("text", r"\s+", " "), r"([.!?]) ", "$1\u0001")).alias("text"))
+    words = flat.select("doc_id", F.replace("text", F.lit("\u0001"), F.lit(" ")).alias("text"))
+    return chunks.word_pieces(words, 400).select("doc_id", "piece_id", "content")
+
+
+@query()
+def sentence_pack(spark: SparkSession, sf: str) -> DataFrame:
+    docs = fixtures.read(spark, sf, "documents").where("text is not null")
+    return chunks.sentence_pieces(docs, 400).select("doc_id", "piece_id", "content")
+
+
+# ---- chunks
+
+_CHUNK_COLUMNS = "doc_id, chunk_index, content, array_to_string(heading_path, chr(31)) as heading_path, block_type, array_to_string(image_refs, chr(31)) as image_refs, has_formula, char_start, char_end, page_number, token_count"
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    return df.select("doc_id", "chunk_index", "content", _joined("heading_path"), "block_type", _joined("image_refs"), "has_formula", "char_start", "char_end", "page_number", "token_count")
+
+
+#: The oracles have no size flush; with this limit no section of the fixture needs one. `chunks` runs with the default.
+_ROOMY = Config(max_tokens=8192)
+
+
+def _chunks(spark: SparkSession, sf: str, cfg: Config = _ROOMY) -> DataFrame:
+    return chunks.assemble(blocks.parse(fixtures.markdown(spark, sf)), cfg)
+
+
+@query()
+def chunks_of_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    return _flat(_chunks(spark, sf))
+
+
+@query()
+def caption_link(spark: SparkSession, sf: str) -> DataFrame:
+    return _flat(chunks.link_captions(_chunks(spark, sf)))
+
+
+@query()
+def atomic_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    return _flat(_chunks(spark, sf)).where("block_type <> 'paragraph'").select("doc_id", "chunk_index", "block_type", "token_count")
+
+
+@query()
+def chunk_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return chunks.summary(chunks.link_captions(_chunks(spark, sf)))
+
+
+@query()
+def chunk_json(spark: SparkSession, sf: str) -> DataFrame:
+    rows = chunks.link_captions(_chunks(spark, sf)).select("doc_id", "chunk_index", "block_type", "token_count")
+    return sinks.chunk_arrays(rows).select("doc_id", "json")
+
+
+@query()
+def chunks_overlapping(spark: SparkSession, sf: str) -> DataFrame:
+    """Small limits: overlap, hard splits and size flushes all occur."""
+    return _flat(chunks.assemble(blocks.parse(fixtures.markdown(spark, sf)), Config(max_tokens=60, overlap_tokens=10)))
+
+
+@query()
+def linked_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole chunking path with default limits."""
+    return _flat(chunks.link_captions(_chunks(spark, sf, DEFAULT)))
+
+
+QUERIES["chunks"] = QUERIES.pop("linked_chunks")
+
+
+@query()
+def chunk_preview(spark: SparkSession, sf: str) -> DataFrame:
+    first = _chunks(spark, sf).where("chunk_index < 5")
+    return first.select("doc_id", "chunk_index", F.substring("content", 1, 120).alias("preview"))
+
+
+_LINKED = (
+    sql.CHUNKS
+    + r""",
+capt as (select *, block_type = 'paragraph' and token_count < 80 and regexp_matches(content, '(?i)^Table\s+\d+[.:]') as cap, block_type = 'table' as tab from chunks),
+edges as (select *, coalesce((cap and lead(tab) over w) or (tab and lead(cap) over w), false) as link from capt window w as (partition by doc_id order by chunk_index)),
+runs as (select *, sum((not link)::int) over (partition by doc_id order by chunk_index) as brk from edges),
+nth as (select *, link and sum(link::int) over (partition by doc_id, brk order by chunk_index) % 2 = 1 as takes from runs),
+pairs as (select *, coalesce(lag(takes) over w, false) as taken, lead(content) over w as c2, lead(heading_path) over w as h2, lead(image_refs) over w as i2, lead(page_number) over w as p2, lead(char_end) over w as e2 from nth window w as (partition by doc_id order by chunk_index)),
+linked as (select doc_id, (row_number() over (partition by doc_id order by chunk_index) - 1)::int as chunk_index, case when takes then content || chr(10) || chr(10) || c2 else content end as content,
+  case when takes and cap then h2 else heading_path end as heading_path, case when takes then 'table' else block_type end as block_type, case when takes and cap then i2 else image_refs end as image_refs,
+  has_formula, char_start, case when takes then e2 else char_end end as char_end, case when takes and cap then p2 else page_number end as page_number,
+  greatest(1, length(case when takes then content || chr(10) || chr(10) || c2 else content end) // 4)::int as token_count from pairs where not taken)"""
+)
+ORACLES |= {
+    "chunks_of_blocks": f"with {sql.CHUNKS} select {_CHUNK_COLUMNS} from chunks",
+    "caption_link": f"with {_LINKED} select {_CHUNK_COLUMNS} from linked",
+    "atomic_chunks": f"with {sql.CHUNKS} select doc_id, chunk_index, block_type, token_count from chunks where block_type <> 'paragraph'",
+    "chunk_summary": f"with {_LINKED} select block_type, count(*) as n, sum(token_count)::bigint as tokens from linked group by block_type",
+    "chunk_json": f"""with {_LINKED} select doc_id, '[' || string_agg('{{"chunk_index":' || chunk_index || ',"block_type":"' || block_type || '","token_count":' || token_count || '}}', ',' order by chunk_index) || ']' as json from linked group by doc_id""",
+    "chunk_preview": f"with {sql.CHUNKS} select doc_id, chunk_index, substr(content, 1, 120) as preview from chunks where chunk_index < 5",
+}
+
+
+# ---- fenced path
+
+
+_FENCED = (
+    sql.KINDS
+    + r""",
+near as (select *, last_value(case when line <> '' then kind end ignore nulls) over (partition by doc_id order by ln rows between unbounded preceding and 1 preceding) as before_kind,
+  first_value(case when line <> '' then line end ignore nulls) over (partition by doc_id order by ln rows between 1 following and unbounded following) as after_line,
+  lag(kind) over (partition by doc_id order by ln) as prev_kind, lead(kind) over (partition by doc_id order by ln) as next_kind from kinds),
+fenced as (select doc_id, ln, kind, case
+  when kind = 'table' then case when coalesce(prev_kind <> 'table', true) then '<!-- ATOMIC:table -->' || chr(10) else '' end || line || case when coalesce(next_kind <> 'table', true) then chr(10) || '<!-- /ATOMIC:table -->' else '' end
+  when kind = 'figure' then '<!-- ATOMIC:figure -->' || chr(10) || line || case when not coalesce(regexp_matches(after_line, '^\*(.+)\*$'), false) then chr(10) || '<!-- /ATOMIC:figure -->' else '' end
+  when regexp_matches(line, '^\*(.+)\*$') and coalesce(before_kind = 'figure', false) then line || chr(10) || '<!-- /ATOMIC:figure -->'
+  when kind = 'formula' then '<!-- ATOMIC:formula -->' || chr(10) || line || chr(10) || '<!-- /ATOMIC:formula -->'
+  else line end as fenced from near where not (line = '' and coalesce(before_kind = 'figure' and regexp_matches(after_line, '^\*(.+)\*$'), false))),
+fenced_docs as (select doc_id, string_agg(fenced, chr(10) order by ln) as text from fenced group by doc_id)"""
+)
+
+
+@query(f"with {_FENCED} select doc_id, text from fenced_docs")
+def fence_atoms(spark: SparkSession, sf: str) -> DataFrame:
+    return fenced.fence(fixtures.markdown(spark, sf))
+
+
+_SECTIONS = (
+    sql.PATHS
+    + r""",
+heads as (select *, length(nullif(regexp_extract(line, '^(#{1,6})\s+(.+)$', 1), '')) as lv from lines),
+cut as (select *, sum((lv is not null)::int) over (partition by doc_id order by ln) as part from heads),
+sections0 as (select doc_id, part, regexp_replace(string_agg(line, chr(10) order by ln), '^\s+|\s+$', '', 'g') as content from cut group by doc_id, part),
+sections as (select doc_id, (row_number() over (partition by doc_id order by part) - 1)::int as section_id, content from sections0 where content <> '')"""
+)
+
+
+@query(f"with {_SECTIONS} select doc_id, section_id, content from sections")
+def header_sections(spark: SparkSession, sf: str) -> DataFrame:
+    return fenced.header_sections(fixtures.markdown(spark, sf)).select("doc_id", "section_id", "content")
+
+
+@query(
+    f"""with {_FENCED}, t as (select doc_id, ln, fenced from fenced) select doc_id, ln, case when contains(fenced, '<!-- ATOMIC:table') then 'table' when contains(fenced, '<!-- ATOMIC:figure') then 'figure'
+    when contains(fenced, '<!-- ATOMIC:formula') then 'formula' when regexp_matches(fenced, '^(\\s*[-*+]|\\s*\\d+[.)]) ') then 'list' else 'paragraph' end as block_type from t"""
+)
+def block_type_detect(spark: SparkSession, sf: str) -> DataFrame:
+    rows = fenced.fence_lines(fixtures.markdown(spark, sf))
+    return rows.select("doc_id", "ln", fenced.block_type(F.col("fenced")).alias("block_type"))
+
+
+@query()
+def recursive_split(spark: SparkSession, sf: str) -> DataFrame:
+    return fenced.chunk(fixtures.markdown(spark, sf), Config(max_tokens=100, overlap_tokens=10))
+
+
+# ---- geometry
+
+_WORDS = """words as (select 1 + floor((p_partkey - 1) / 20)::int as page, p_partkey * 4 + col as word_id,
+  case col when 0 then p_brand when 1 then p_type when 2 then p_size::varchar else p_retailprice::varchar end as text,
+  (72 + col * 110 + (p_partkey * 3 + col) % 4)::double as x0,
+  (100 + ((p_partkey - 1) % 20) * 14 + (p_partkey + col) % 3 + case when (p_partkey - 1) % 20 >= 10 then 40 else 0 end)::double as top
+  from part cross join (values (0), (1), (2), (3)) c(col))"""
+
+
+def _fold_rows(key: str, snap: float, name: str) -> str:
+    return f"""{_WORDS}, o as (select *, row_number() over (partition by page order by {key}, x0, word_id) as i from words),
+f as (select page, i, word_id, text, x0, top, top as anchor, 0 as {name} from o where i = 1
+  union all select o.page, o.i, o.word_id, o.text, o.x0, o.top, case when abs(o.top - f.anchor) > {snap} then o.top else f.anchor end,
+  case when abs(o.top - f.anchor) > {snap} then f.{name} + 1 else f.{name} end from f join o on o.page = f.page and o.i = f.i + 1)"""
+
+
+_ROWS = _fold_rows("top", 4.0, "row_id")
+_BOXES = (
+    _ROWS
+    + """, boxes as (select page, row_id, min(top) as top, max(top + 10) as bottom from f group by page, row_id),
+meds as (select page, list_sort(list(bottom - top))[count(*) // 2 + 1] as med from boxes group by page),
+gaps as (select b.*, top - lag(bottom) over (partition by b.page order by row_id) as gap, greatest(1.5 * med, 12) as lim from boxes b join meds using (page)),
+tblocks as (select page, row_id, sum((coalesce(gap, 0) > lim)::int) over (partition by page order by row_id)::int as block_id from gaps),
+placed as (select f.*, block_id from f join tblocks using (page, row_id)),
+xs as (select *, sum(fresh) over (partition by page, block_id order by x0, word_id) as cl from (select *, coalesce(x0 - lag(x0) over (partition by page, block_id order by x0, word_id) > 6, false)::int as fresh from placed)),
+cls as (select page, block_id, cl, list_sort(list(x0))[count(*) // 2 + 1] as x from xs group by page, block_id, cl),
+nrows as (select page, block_id, count(distinct row_id) as n from placed group by page, block_id),
+kept as (select c.page, c.block_id, x from cls c join placed p using (page, block_id) join nrows using (page, block_id) where abs(p.x0 - x) <= 6 group by c.page, c.block_id, x, cl, n having count(distinct row_id) / n >= 0.5),
+bounds as (select page, block_id, (row_number() over (partition by page, block_id order by x) - 1)::int as col, x from kept),
+cells as (select page, block_id, row_id, col, string_agg(text, ' ' order by x0, word_id) as text from
+  (select p.page, p.block_id, p.row_id, p.word_id, p.x0, p.text, greatest(0, (select count(*) from bounds b where b.page = p.page and b.block_id = p.block_id and p.x0 >= b.x - 6) - 1)::int as col from placed p)
+  group by page, block_id, row_id, col)"""
+)
+
+
+@query(f"with recursive {_ROWS} select page, word_id, row_id::int as row_id from f")
+def visual_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return geometry.visual_rows(fixtures.words(spark, sf)).select("page", "word_id", "row_id")
+
+
+@query(f"with recursive {_fold_rows('round_even(top, 0)', 3.0, 'line_id')} select page, line_id::int as line_id, min(top) as top, max(top + 10) as bottom, min(x0) as x0, string_agg(text, ' ' order by x0, word_id) as text from f group by page, line_id")
+def visual_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return geometry.visual_lines(fixtures.words(spark, sf)).select("page", "line_id", "top", "bottom", "x0", "text")
+
+
+def _placed(spark: SparkSession, sf: str) -> DataFrame:
+    rows = geometry.visual_rows(fixtures.words(spark, sf))
+    return rows.join(geometry.table_blocks(rows), ["doc_id", "page", "row_id"])
+
+
+@query(f"with recursive {_BOXES} select page, row_id::int as row_id, block_id from tblocks")
+def table_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    return geometry.table_blocks(geometry.visual_rows(fixtures.words(spark, sf))).select("page", "row_id", "block_id")
+
+
+@query(f"with recursive {_BOXES} select page, block_id, col, x from bounds")
+def column_boundaries(spark: SparkSession, sf: str) -> DataFrame:
+    return geometry.column_boundaries(_placed(spark, sf)).select("page", "block_id", "col", "x")
+
+
+@query(f"with recursive {_BOXES} select page, block_id, row_id::int as row_id, col, text from cells")
+def column_assign(spark: SparkSession, sf: str) -> DataFrame:
+    placed = _placed(spark, sf)
+    return geometry.assign_columns(placed, geometry.column_boundaries(placed)).select("page", "block_id", "row_id", "col", "text")
+
+
+def _grids(spark: SparkSession, sf: str) -> DataFrame:
+    placed = _placed(spark, sf)
+    edges = geometry.column_boundaries(placed)
+    return geometry.merge_split_columns(geometry.grids(geometry.assign_columns(placed, edges), edges))
+
+
+@query()
+def borderless_tables(spark: SparkSession, sf: str) -> DataFrame:
+    found = _grids(spark, sf).withColumn("grid", geometry.merge_orphan_rows(F.col("grid"))).where(tables.is_valid(F.col("grid"), F.size("edges")))
+    header, data = tables.grid_to_table(F.col("grid"), F.size("edges"))
+    return found.select("page", "block_id", F.array_join(header, "|").alias("header"), F.array_join(F.transform(data, lambda r: F.array_join(r, "|")), "\n").alias("data"))
+
+
+@query(
+    r"""with g as (select o_orderkey // 10 as page, o_orderkey as obj_id, ((o_custkey * 37) % 750)::double as top, ((o_custkey * 37) % 750 + o_orderkey % 45)::double as bottom,
+  (50 + (o_custkey % 5) * 60)::double as x0, (80 + (o_custkey % 5) * 60 + o_orderkey % 50)::double as x1 from orders),
+m as (select *, (top - max(bottom) over (partition by page order by top, obj_id rows between unbounded preceding and 1 preceding) > 60)::int as fresh from g where bottom > top or x1 > x0),
+c as (select *, sum(coalesce(fresh, 0)) over (partition by page order by top, obj_id) as cluster_id from m),
+a as (select page, cluster_id, min(top) as top, max(bottom) as bottom, min(x0) as x0, max(x1) as x1 from c group by page, cluster_id)
+select page::int as page, cluster_id::int as cluster_id, top, bottom, x0, x1 from a where bottom - top >= 30 and x1 - x0 >= 40"""
+)
+def graphic_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return geometry.clusters(fixtures.graphics(spark, sf)).select("page", "cluster_id", "top", "bottom", "x0", "x1")
+
+
+_GRAPHICS = r"""g as (select (o_orderkey // 10)::int as page, o_orderkey as obj_id, ((o_custkey * 37) % 750)::double as top, ((o_custkey * 37) % 750 + o_orderkey % 45)::double as bottom,
+  (50 + (o_custkey % 5) * 60)::double as x0, (80 + (o_custkey % 5) * 60 + o_orderkey % 50)::double as x1 from orders),
+m as (select *, (top - max(bottom) over (partition by page order by top, obj_id rows between unbounded preceding and 1 preceding) > 60)::int as fresh from g where bottom > top or x1 > x0),
+c as (select *, sum(coalesce(fresh, 0)) over (partition by page order by top, obj_id) as cluster_id from m),
+cl0 as (select page, cluster_id::int as cluster_id, min(top) as top, max(bottom) as bottom, min(x0) as x0, max(x1) as x1 from c group by page, cluster_id),
+cl as (select * from cl0 where bottom - top >= 30 and x1 - x0 >= 40),
+cap as (select c_custkey::int as page, c_custkey as cap_id, ((c_custkey * 53) % 760)::double as top, ((c_custkey * 53) % 760 + 10)::double as bottom, 60.0::double as x0, 420.0::double as x1,
+  'Figure ' || (1 + c_custkey % 9) || '. ' || c_name as text from customer)"""
+
+
+@query(
+    f"""with {_GRAPHICS} select page, cap_id, cluster_id, fig_top, fig_bottom from (select cap.page, cap_id, cluster_id, cl.top as fig_top, cap.top as fig_bottom,
+  row_number() over (partition by cap.page, cap_id order by cl.bottom desc, cl.top, cluster_id) as n from cap join cl on cap.page = cl.page and cap.top - cl.top >= 30) where n = 1"""
+)
+def cluster_match(spark: SparkSession, sf: str) -> DataFrame:
+    found = figures.match_clusters(fixtures.captions(spark, sf), geometry.clusters(fixtures.graphics(spark, sf)))
+    return found.select("page", "cap_id", "cluster_id", "fig_top", "fig_bottom")
+
+
+@query(
+    f"""with {_GRAPHICS}, p as (select g.page, obj_id, cap.text, row_number() over (partition by g.page, obj_id order by cap.top - g.bottom, (not regexp_matches(cap.text, '(?i)^(?:fig(?:ure)?|table|chart|plot|image|photo)')), cap_id) as n
+  from g join cap on g.page = cap.page and cap.top - g.bottom >= -2 and cap.top - g.bottom <= 35 and least(g.x1, cap.x1) - greatest(g.x0, cap.x0) >= 10)
+select g.page, g.obj_id, coalesce(p.text, '') as caption from g left join p on g.page = p.page and g.obj_id = p.obj_id and n = 1"""
+)
+def caption_below(spark: SparkSession, sf: str) -> DataFrame:
+    return figures.caption_below(fixtures.graphics(spark, sf), fixtures.captions(spark, sf)).select("page", "obj_id", "caption")
+
+
+@query(
+    f"""with {_GRAPHICS}, free as (select * from cl where not exists (select 1 from cap where cap.page = cl.page and cap.top - cl.top >= 30)),
+big as (select page, cluster_id from (select *, row_number() over (partition by page order by (bottom - top) * (x1 - x0) desc, cluster_id) as n from free) where n = 1)
+select page, cap_id, cluster_id from (select big.page, cap_id, cluster_id, row_number() over (partition by big.page order by cap.top, cap_id) as n from cap join big on cap.page - 1 = big.page where cap.top <= 0.3 * 800) where n = 1"""
+)
+def cross_page_figures(spark: SparkSession, sf: str) -> DataFrame:
+    found = figures.cross_page(fixtures.captions(spark, sf), geometry.clusters(fixtures.graphics(spark, sf)), F.lit(800.0))
+    return found.select("page", "cap_id", "cluster_id")
+
+
+@query(
+    f"""with {_GRAPHICS}, ras as (select page, text as caption from cap where cap_id % 3 = 0)
+select page, cap_id, text from cap where not exists (select 1 from ras where ras.page = cap.page and substr(ras.caption, 1, 30) = substr(cap.text, 1, 30))"""
+)
+def raster_dedupe(spark: SparkSession, sf: str) -> DataFrame:
+    captions = fixtures.captions(spark, sf)
+    rasters = captions.where("cap_id % 3 = 0").select("doc_id", "page", F.col("text").alias("caption"))
+    return figures.without_raster(captions, rasters).select("page", "cap_id", "text")
+
+
+@query(
+    f"""with {_GRAPHICS}, n as (select *, row_number() over (partition by page order by top, obj_id) as img_no from g)
+select page, obj_id, img_no::int as img_no, '![Figure (page ' || page || ')](images/page' || page || '_fig' || img_no || '.png)' as markdown from n"""
+)
+def build_img_md(spark: SparkSession, sf: str) -> DataFrame:
+    found = figures.link(figures.number_images(fixtures.graphics(spark, sf).withColumn("caption", F.lit(""))))
+    return found.select("page", "obj_id", "img_no", "markdown")
+
+
+_BOX = """a as (select (l_orderkey % 50)::int as page, l_orderkey * 10 + l_linenumber as id, l_quantity * 12.0::double as top, l_quantity * 12.0::double + 20 + 10 * l_linenumber as bottom from lineitem where l_orderkey <= 1500),
+b as (select (o_orderkey % 50)::int as page, o_orderkey as id, (o_orderkey % 50) * 12.0::double as top, (o_orderkey % 50) * 12.0::double + 20 + 10 * (o_custkey % 7) as bottom from orders where o_orderkey <= 1500)"""
+
+
+@query(
+    f"""with {_BOX}, p as (select a.page, a.id, b.id as other, greatest(0, least(a.bottom, b.bottom) - greatest(a.top, b.top)) / (greatest(a.bottom, b.bottom) - least(a.top, b.top)) as r from a join b on a.page = b.page and a.top < b.bottom and b.top < a.bottom),
+k as (select *, row_number() over (partition by page, id order by r desc, other) as n from p where r >= 0.5)
+select distinct a.page, a.id, k.other as match_id, k.r as ratio from a left join k on a.page = k.page and a.id = k.id and n = 1"""
+)
+def bbox_match(spark: SparkSession, sf: str) -> DataFrame:
+    left, right = fixtures.boxes(spark, sf)
+    return tables.match(left, right).select("page", "id", "match_id", "ratio")
+
+
+@query(f"with {_BOX} select a.page, a.id from a where not exists (select 1 from b where a.page = b.page and least(a.bottom, b.bottom) - greatest(a.top, b.top) > 2 and b.id % 5 = 0)")
+def zone_anti_join(spark: SparkSession, sf: str) -> DataFrame:
+    left, right = fixtures.boxes(spark, sf)
+    return geometry.outside_zones(left, right.where("id % 5 = 0")).select("page", "id")
+
+
+# ---- tables
+
+
+@query(
+    r"""with c as (select p_partkey, p_brand || chr(10) || ' ' || lower(p_type) || chr(10) || chr(10) || p_size || chr(10) || p_name as raw from part),
+s as (select p_partkey, list_transform(string_split(raw, chr(10)), lambda x: trim(x)) as p from c),
+f as (select p_partkey, list_reduce(p, lambda r, x: case when r = '' or x = '' then r || ' ' || x when regexp_matches(r, '[_@]') then r || x when regexp_matches(r, '[0-9]$') and regexp_matches(x, '^\w') then r || x
+  when regexp_matches(x, '^\p{Ll}') and length(r) + length(x) <= 8 then r || x else r || ' ' || x end) as t from s)
+select p_partkey, trim(regexp_replace(trim(t), '\s+', ' ', 'g')) as cell from f"""
+)
+def clean_cell(spark: SparkSession, sf: str) -> DataFrame:
+    raw = F.concat(F.col("p_brand"), F.lit("\n "), F.lower("p_type"), F.lit("\n\n"), F.col("p_size").cast("string"), F.lit("\n"), F.col("p_name"))
+    return fixtures.read(spark, sf, "part").select("p_partkey", fn.clean_cell(raw).alias("cell"))
+
+
+def _raw_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw tables from orders and their lines: one table for each order, one document for each 100 orders."""
+    li = fixtures.read(spark, sf, "lineitem")
+    row = F.array(F.col("l_linenumber").cast("string"), F.col("l_returnflag"), F.col("l_quantity").cast("int").cast("string"), F.col("l_linestatus"))
+    rows = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", row.alias("r")))), lambda s: s["r"])
+    found = li.groupBy("l_orderkey").agg(rows.alias("rows"))
+    key = F.col("l_orderkey")
+    head = F.when(key % 3 == 0, F.array(F.array(F.lit("No"), F.lit("Flag"), F.lit("Quantity"), F.lit("Status")))).otherwise(F.array().cast("array<array<string>>"))
+    return found.select(
+        F.floor(key / 100).cast("long").alias("doc_id"), (key % 100).cast("int").alias("page"), F.lit(0).alias("tbl_ord"), F.lit(50.0).alias("top"), F.lit(700.0).alias("bottom"), F.concat(head, "rows").alias("rows")
+    )
+
+
+@query(
+    r"""with r as (select l_orderkey, list([l_linenumber::varchar, l_returnflag, l_quantity::int::varchar, l_linestatus] order by l_linenumber) as body from lineitem group by l_orderkey),
+t as (select l_orderkey // 100 as doc_id, (l_orderkey % 100)::int as page, case when l_orderkey % 3 = 0 then list_prepend(['No', 'Flag', 'Quantity', 'Status'], body) else body end as rows from r),
+h as (select *, lag(page) over w as pp, lag(rows) over w as pr from t window w as (partition by doc_id order by page)),
+x as (select *, rows[1] as h1, pr[1] as h0 from h),
+y as (select *, (page - pp <= 1 and len(h1) = len(h0)
+  and not (len(list_filter(list_zip(h1, h0), lambda z: lower(z[1]) = lower(z[2]))) >= 0.6 * len(h1))
+  and not (list_avg(list_transform(h1, lambda c: length(c))) <= 30 and len(list_filter(h1, lambda c: regexp_matches(c, '^[\d.,%$\-+/]+$'))) / len(h1) <= 0.4)) as goes_on from x),
+z as (select *, sum((not coalesce(goes_on, false))::int) over (partition by doc_id order by page) - 1 as table_id from y)
+select doc_id, table_id::int as table_id, min(page) as page, count(*)::int as segments, (sum(len(rows)) - 1)::int as n_rows from z group by doc_id, table_id"""
+)
+def logical_tables(spark: SparkSession, sf: str) -> DataFrame:
+    found = tables.logical_tables(_raw_tables(spark, sf))
+    return found.select("doc_id", "table_id", "page", F.size("segments").alias("segments"), F.size("data").alias("n_rows"))
+
+
+@query(
+    f"""with {sql.LINES}, row as (select *, regexp_matches(line, '^\\|') as r from lines), run as (select *, sum((not r)::int) over (partition by doc_id order by ln) as g from row),
+t as (select doc_id, g, list(line order by ln) as rows, min(char_start) as s, max(char_end) as e from run where r group by doc_id, g)
+select doc_id, (row_number() over (partition by doc_id order by g) - 1)::int as table_no, s as "start", e as "end", array_to_string(rows, chr(10)) as "table" from t where len(rows) > 1 and regexp_matches(rows[2], '^\\|[-| :]+\\|?$')"""
+)
+def extract_md_tables(spark: SparkSession, sf: str) -> DataFrame:
+    return merge.markdown_tables(fixtures.markdown(spark, sf))
+
+
+_PARSED = f"""{sql.LINES}, row as (select *, regexp_matches(line, '^\\|') as r from lines), run as (select *, sum((not r)::int) over (partition by doc_id order by ln) as g from row),
+t as (select doc_id, g, list(line order by ln) as rows from run where r group by doc_id, g),
+n as (select doc_id, (row_number() over (partition by doc_id order by g) - 1)::int as table_no, list_transform(rows, lambda l: list_transform(string_split(regexp_replace(trim(l), '^\\|+|\\|+$', '', 'g'), '|'), lambda c: trim(c))) as cells, rows from t where len(rows) > 1 and regexp_matches(rows[2], '^\\|[-| :]+\\|?$')),
+b as (select doc_id, table_no, cells[1] as header, list_transform(list_filter(list_zip(cells, rows)[3:], lambda z: not regexp_matches(trim(z[2]), '^\\|[-| :]+\\|?$')), lambda z: list_resize(z[1], len(cells[1]), '')) as data from n)"""
+
+
+@query(f"with {_PARSED} select doc_id, table_no, array_to_string(header, '|') as header, len(data)::int as n_rows, array_to_string(list_transform(data, lambda r: array_to_string(r, '|')), chr(10)) as data from b")
+def md_table_parse(spark: SparkSession, sf: str) -> DataFrame:
+    header, data = tables.parse_markdown(F.col("table"))
+    found = merge.markdown_tables(fixtures.markdown(spark, sf)).select("doc_id", "table_no", header.alias("header"), data.alias("data"))
+    return found.select("doc_id", "table_no", _joined("header", "|"), F.size("data").alias("n_rows"), _grid("data"))
+
+
+@query(
+    f"""with {_PARSED} select doc_id, table_no, case when len(header) = 0 or len(data) = 0 then 0.0 else round(0.5 * (len(list_filter(flatten(data), lambda c: c <> ''))::double / (len(header) * len(data)))
+    + 0.3 * (1 - len(list_filter(header, lambda h: regexp_matches(h, '^(?:Col\\d+|Unnamed.*|\\d+)$')))::double / len(header)) + 0.2 * least(len(header) / 10.0::double, 1.0), 9) end as score from b"""
+)
+def table_quality(spark: SparkSession, sf: str) -> DataFrame:
+    header, data = tables.parse_markdown(F.col("table"))
+    return merge.markdown_tables(fixtures.markdown(spark, sf)).select("doc_id", "table_no", F.round(tables.quality(header, data), 9).alias("score"))
+
+
+@query(
+    f"""with {_PARSED}, l as (select *, lag(header) over w as h0, lag(data) over w as d0 from b window w as (partition by doc_id order by table_no))
+    select doc_id, table_no, coalesce(len(data) > 0 and len(d0) > 0 and len(header) = len(h0) and len(list_filter(list_zip(header, h0), lambda z: lower(z[1]) = lower(z[2]))) >= 0.6 * len(header), false) as same from l"""
+)
+def tables_similar(spark: SparkSession, sf: str) -> DataFrame:
+    order = Window.partitionBy("doc_id").orderBy("table_no")
+    found = merge.markdown_tables(fixtures.markdown(spark, sf)).withColumn("prior", F.lag("table").over(order))
+    return found.select("doc_id", "table_no", F.coalesce(tables.similar(F.col("table"), F.col("prior")), F.lit(False)).alias("same"))
+
+
+@query()
+def md_table_render(spark: SparkSession, sf: str) -> DataFrame:
+    header, data = tables.parse_markdown(F.col("table"))
+    return merge.markdown_tables(fixtures.markdown(spark, sf)).select("doc_id", "table_no", fn.render_table(header, data).alias("markdown"))
+
+
+@query()
+def cross_page_merge(spark: SparkSession, sf: str) -> DataFrame:
+    grids = _grids(spark, sf).withColumn("top", F.lit(120.0)).withColumn("bottom", F.lit(500.0)).where("block_id = 0")
+    header, data = tables.grid_to_table(F.col("grid"), F.size("edges"))
+    rest = tables.is_page_top_rest(F.slice("grid", 1, 3), F.col("top"), F.col("page"))
+    parts = grids.select(F.lit("part").alias("doc_id"), "page", "top", "bottom", header.alias("header"), data.alias("data"), "grid", rest.alias("is_cont"))
+    merged = tables.merge_pages(parts)
+    return merged.select("table_id", "page", F.size("data").alias("n_rows"), _joined("header", "|"))
+
+
+# ---- merging
+
+
+_HOLES = f"""{sql.LINES}, d as (select doc_id, regexp_replace(text, '!\\[[^\\]]*\\]\\([^)]+\\)', '<!-- image -->', 'g') as text from totals),
+p as (select doc_id, string_split(text, '<!-- image -->') as parts from d)"""
+
+
+def _with_holes(spark: SparkSession, sf: str) -> DataFrame:
+    return fixtures.markdown(spark, sf).select("doc_id", F.regexp_replace("text", r"!\[[^\]]*\]\([^)]+\)", merge.PLACEHOLDER).alias("text"))
+
+
+def _images(spark: SparkSession, sf: str) -> DataFrame:
+    docs = fixtures.read(spark, sf, "documents").where("text is not null").select("doc_id", F.explode(F.sequence(F.lit(0), (F.col("doc_id") % 4).cast("int"))).alias("k"))
+    return docs.select("doc_id", (F.col("k") + 1).alias("page"), F.lit(10.0).alias("top"), F.concat(F.lit("images/i"), F.col("k").cast("string"), F.lit(".png")).alias("path"), F.concat(F.lit("Figure "), F.col("k").cast("string"), F.lit(". x")).alias("caption"))
+
+
+@query(
+    f"""with {_HOLES}, im as (select doc_id, list('![Figure ' || k || '](images/i' || k || '.png)' || chr(10) || '*Figure ' || k || '. x*' order by k) as links from (select doc_id, unnest(range(0, doc_id % 4 + 1)) as k from documents where text is not null) group by doc_id)
+select doc_id, array_to_string(list_transform(parts, lambda x, i: case when i = 1 then x else coalesce(links[i - 1], '<!-- image -->') || x end), '')
+  || case when len(links) > len(parts) - 1 then chr(10) || chr(10) || array_to_string(links[len(parts):], chr(10) || chr(10)) || chr(10) || chr(10) else '' end as text from p join im using (doc_id)"""
+)
+def inject_images(spark: SparkSession, sf: str) -> DataFrame:
+    return merge.inject_images(_with_holes(spark, sf), _images(spark, sf))
+
+
+@query(
+    f"""with {sql.LINES}, m as (select doc_id, ln, char_start, case when ln % 10 = 9 then '<!-- Page ' || (2 + ln // 10) || ' -->' else line end as line from lines),
+t as (select doc_id, ln, line, coalesce(sum(length(line) + 1) over (partition by doc_id order by ln rows between unbounded preceding and 1 preceding), 0)::int as pos from m),
+f as (select doc_id, nullif(regexp_extract(line, '<!--\\s*[Pp]age\\s+(\\d+)\\s*-->', 1), '')::int as page, pos from t)
+select d.doc_id, coalesce(page, 1) as page, coalesce(pos, 0)::int as pos from (select distinct doc_id from lines) d left join (select * from f where page is not null) f using (doc_id)"""
+)
+def page_markers(spark: SparkSession, sf: str) -> DataFrame:
+    return merge.page_marks(_paged(spark, sf))
+
+
+def _paged(spark: SparkSession, sf: str) -> DataFrame:
+    md = fixtures.markdown(spark, sf)
+    marked = F.transform(F.split("text", "\n"), lambda x, i: F.when(i % 10 == 9, F.concat(F.lit("<!-- Page "), (2 + F.floor(i / 10)).cast("string"), F.lit(" -->"))).otherwise(x))
+    return md.select("doc_id", F.array_join(marked, "\n").alias("text"))
+
+
+@query()
+def insert_position(spark: SparkSession, sf: str) -> DataFrame:
+    md = _paged(spark, sf)
+    wanted = md.select("doc_id", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("page"))
+    return merge.insert_positions(md, wanted)
+
+
+@query()
+def inject_tables(spark: SparkSession, sf: str) -> DataFrame:
+    md = _paged(spark, sf)
+    extra = md.select("doc_id", F.explode(F.array(F.lit(2), F.lit(3))).alias("page"), F.lit(1.0).alias("top"), F.lit("| a |\n|---|\n| 1 |").alias("markdown"))
+    return merge.inject_tables(md, extra)
+
+
+@query()
+def inject_better_tables(spark: SparkSession, sf: str) -> DataFrame:
+    md = fixtures.markdown(spark, sf).select("doc_id", "text")
+    header, data = tables.parse_markdown(F.col("table"))
+    better = merge.markdown_tables(md).select("doc_id", "table_no", fn.render_table(header, data).alias("markdown"))
+    return merge.replace_tables(md, better)
+
+
+@query()
+def remove_captions(spark: SparkSession, sf: str) -> DataFrame:
+    return merge.drop_plain_captions(_with_holes(spark, sf))
+
+
+@query(
+    f"""with {sql.LINES}, d as (select doc_id, regexp_replace(text, '(?m)^(Table [1-7])\\. .*$', chr(10) || '\\1. x' || chr(10), 'g') as text from totals)
+select doc_id, replace(text, chr(10) || chr(10) || 'Table 3. x' || chr(10) || chr(10), chr(10) || chr(10)) as text from d"""
+)
+def repeated_captions(spark: SparkSession, sf: str) -> DataFrame:
+    md = fixtures.markdown(spark, sf).select("doc_id", F.regexp_replace("text", r"(?m)^(Table [1-7])\. .*$", "\n$1. x\n").alias("text"))
+    return merge.drop_repeated_captions(md, md.select("doc_id", F.lit("Table 3. x").alias("caption")))
+
+
+# ---- other
+
+
+@query(
+    """with q as (select vec_id as query_id, embedding as q from embeddings where vec_id % 20 = 0)
+select query_id, vec_id, round(similarity, 6) as similarity, "rank" from (select query_id, vec_id, list_cosine_similarity(embedding::double[], q::double[]) as similarity, row_number() over (partition by query_id order by list_cosine_similarity(embedding::double[], q::double[]) desc, vec_id)::int as "rank"
+from embeddings, q where vec_id <> query_id) where "rank" <= 3"""
+)
+def vector_topk(spark: SparkSession, sf: str) -> DataFrame:
+    vectors_ = fixtures.read(spark, sf, "embeddings")
+    found = vectors.top_k(vectors_, vectors_.where("vec_id % 20 = 0"))
+    return found.select("query_id", "vec_id", F.round("similarity", 6).alias("similarity"), "rank")
+
 
+@query()
+def html_markdown(spark: SparkSession, sf: str) -> DataFrame:
+    return readers.read_html(spark, fixtures.read(spark, sf, "pages"))
 
-def oracle_sql() -> dict:
-    return {}
