@@ -74,6 +74,12 @@ def gram_set(text: str | None, n: int, cache: dict) -> np.ndarray:
     return np.unique(gram_hashes(word_hashes(text, cache), n))
 
 
+def sketch(grams: np.ndarray) -> np.ndarray:
+    """Parities of the grams in 512 slots, as 8 longs. Two sketches differ in at most as many bits as the sets in grams."""
+    parity = np.bincount((grams >> np.uint64(20)).astype(np.int64) & 511, minlength=512) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.int64)
+
+
 def overlap_needed(a, b, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
@@ -158,6 +164,12 @@ def _slots(x: Column) -> Column:
     return F.pmod(F.xxhash64(x), F.lit(1 << _BITS)) + 1
 
 
+def _name(grams, data: bytes = b"") -> int:
+    """64-bit name of a set, or of a size with the bytes of a prefix."""
+    head, body = (grams.to_bytes(8, "little"), data) if isinstance(grams, int) else (len(grams).to_bytes(8, "little"), grams.tobytes())
+    return int.from_bytes(hashlib.blake2b(head + body, digest_size=8).digest(), "little", signed=True)
+
+
 class Members:
     """A fixed-size bitmap over hashed values: no false "absent", some false "present"."""
 
@@ -225,6 +237,7 @@ def _bounds(keys):
     return starts, np.append(starts[1:], len(keys)) - starts
 
 
+_SKETCH = [f"s{i}" for i in range(8)]
 _MET = "kind int, x long, y long, z long"
 
 
@@ -273,7 +286,8 @@ def _rest(percent: int):
     """
 
     def run(batches):
-        for (shard, role, place, member, comp), _ in _runs(batches, 5):
+        for (shard, role, place, member, comp, *parts), _ in _runs(batches, 13):
+            marks = np.stack(parts, axis=1)
             starts, lengths = _bounds(shard)
             size, pos = place >> 32, place & 0xFFFFFFFF
             for s, m in zip(starts, lengths, strict=True):
@@ -286,6 +300,8 @@ def _rest(percent: int):
                     j = j[(comp[j] != comp[i]) & ((role[j] == 0) | (member[j] > member[i]))]
                     x = np.full(len(j), i)
                     ok = _pairs_pass(size[x], pos[x], size[j], pos[j], percent)
+                    apart = np.bitwise_count((marks[j] ^ marks[i]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+                    ok &= apart <= size[x] + size[j] - 2 * overlap_needed(size[x], size[j], percent)
                     a, b = member[x[ok]], member[j[ok]]
                     if len(a):
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
@@ -330,20 +346,18 @@ def link_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str =
                 grams = gram_set(text, n, cache)
                 size = len(grams)
                 if not size:
-                    rows.append((0, None, None, None))
+                    rows.append((0, None, None, None, *[None] * 8))
                     continue
                 prefix = order.keys(grams)[: probe_length(size, percent)].tobytes()
-                head = size.to_bytes(8, "little")
-                name = lambda data, head=head: int.from_bytes(hashlib.blake2b(head + data, digest_size=8).digest(), "little", signed=True)
-                rows.append((size, name(grams.tobytes()), name(prefix), prefix))
-            cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.binary())],
-                ["doc_id", "size", "member", "grp", "prefix"],
-            )
-
-    signed = materialize(docs.mapInArrow(sign, "doc_id long, size long, member long, grp long, prefix binary"), "signed")
-    members = signed.where("size > 0").groupBy("member", "grp").agg(F.min("doc_id").alias("first_doc"), F.max("size").alias("size"))
+                rows.append((size, _name(grams), _name(size, prefix), prefix, *sketch(grams).tolist()))
+            cols = list(zip(*rows, strict=True)) or [()] * 12
+            arrays = [pa.array(c, pa.binary() if i == 3 else pa.int64()) for i, c in enumerate(cols)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "size", "member", "grp", "prefix", *_SKETCH])
+
+    signed = docs.mapInArrow(sign, "doc_id long, size long, member long, grp long, prefix binary, " + ", ".join(f"{c} long" for c in _SKETCH))
+    signed = materialize(signed, "signed")
+    marks = [F.max(c).alias(c) for c in ("size", *_SKETCH)]  # equal for all rows of a member
+    members = signed.where("size > 0").groupBy("member", "grp").agg(F.min("doc_id").alias("first_doc"), *marks)
     members = materialize(members, "members")
 
     def postings(batches):
@@ -364,44 +378,52 @@ def link_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     met = materialize(index.repartition(parts, "gram").sortWithinPartitions("gram").mapInArrow(_meet(percent), _MET), "met")
     arrow_rows(spark)
 
-    # Sets of the classes that can take part in a pair.
-    grouped = members.groupBy("grp").agg(F.count("*").alias("many"))
-    active = met.where("kind < 2").select(F.explode(F.array("x", "y")).alias("grp")).union(met.where("kind = 2").select("y")).distinct()
-    active = active.union(grouped.where("many > 1").select("grp"))
-    needed = members.join(active, "grp", "left_semi").select(F.coalesce("first_doc", F.lit(-1)).alias("key"))
-    bitmap = Members(needed, "key")
-    bits = bitmap.shared
+    def sets_of(pairs):
+        """(member, grams) of at least the members of pairs (a, b), read from the texts again."""
+        needed = members.join(pairs.select(F.explode(F.array("a", "b")).alias("member")).distinct(), "member", "left_semi")
+        bits = Members(needed.select(F.coalesce("first_doc", F.lit(-1)).alias("key")), "key").shared
 
-    def sets_of(batches):
-        cache = _WordHash()
-        for batch in batches:
-            texts = batch.column(1).filter(pa.array(Members.hit(bits.value, batch.column(0).to_numpy(zero_copy_only=False)))).to_pylist()
-            found = [g for g in (gram_set(t, n, cache) for t in texts) if len(g)]
-            names = [int.from_bytes(hashlib.blake2b(len(g).to_bytes(8, "little") + g.tobytes(), digest_size=8).digest(), "little", signed=True) for g in found]
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([g.tobytes() for g in found], pa.binary())], ["member", "grams"])
+        def run(batches):
+            cache = _WordHash()
+            for batch in batches:
+                texts = batch.column(1).filter(pa.array(Members.hit(bits.value, batch.column(0).to_numpy(zero_copy_only=False)))).to_pylist()
+                found = [g for g in (gram_set(t, n, cache) for t in texts) if len(g)]
+                yield pa.RecordBatch.from_arrays([pa.array([_name(g) for g in found], pa.int64()), pa.array([g.tobytes() for g in found], pa.binary())], ["member", "grams"])
+
+        keyed = docs.select(_slots(F.coalesce("doc_id", F.lit(-1))).alias("slot"), "text")
+        return materialize(keyed.mapInArrow(run, "member long, grams binary"), "sets")
+
+    def side(table, key, suffix):
+        """(grp or member renamed, size and sketch with a suffix) for near()."""
+        return table.select(*[F.col(c).alias(f"{c}_{suffix}") for c in (*key, "size", *_SKETCH)])
 
-    keyed = docs.select(_slots(F.coalesce("doc_id", F.lit(-1))).alias("slot"), "text")
-    sets = materialize(keyed.mapInArrow(sets_of, "member long, grams binary"), "sets")
+    bits_apart = " + ".join(f"bit_count({c}_1 ^ {c}_2)" for c in _SKETCH)
+    near = F.expr(f"{bits_apart} <= size_1 + size_2 - 2 * ceil({percent} * (size_1 + size_2) / {100 + percent}.0D)")
 
     # First pass: a few neighbours of each group, through one member each, and neighbours within groups.
-    lead = members.groupBy("grp").agg(F.min("member").alias("member"))
-    near = met.where("kind < 2").groupBy(F.col("x").alias("grp")).agg(F.slice(F.sort_array(F.collect_set("y")), 1, 4).alias("to"))
-    near = near.select("grp", F.explode("to").alias("to"))
-    near = near.join(lead.withColumnRenamed("member", "a"), "grp").select("a", F.col("to").alias("grp")).join(lead.withColumnRenamed("member", "b"), "grp").select("a", "b")
-    inside = members.join(grouped.where("many > 1"), "grp").join(lead.withColumnRenamed("member", "b"), "grp").where("member <> b").select(F.col("member").alias("a"), "b")
-    first = materialize(near.union(inside).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "pairs")
-    links = materialize(_verified(first, sets, percent), "links")
+    lead = members.groupBy("grp").agg(F.min(F.struct("member", "size", *_SKETCH)).alias("m"), F.count("*").alias("many")).select("grp", "many", "m.*")
+    lead = materialize(lead, "leads")
+    met_pairs = met.where("kind < 2").groupBy(F.col("x").alias("grp_1"), F.col("y").alias("grp_2")).agg(F.max("kind").alias("kind"))
+    met_pairs = met_pairs.join(side(lead, ("grp", "member", "many"), 1), "grp_1").join(side(lead, ("grp", "member", "many"), 2), "grp_2")
+    met_pairs = met_pairs.withColumn("near", near).where("near or many_1 > 1 or many_2 > 1")
+    met_pairs = materialize(met_pairs.select("grp_1", "grp_2", "member_1", "member_2", "kind", "near"), "met-pairs")
+    some = F.slice(F.array_sort(F.collect_list(F.struct(F.xxhash64("member_1", "member_2").alias("h"), F.col("member_2").alias("b")))), 1, 3)
+    first = met_pairs.where("near").groupBy(F.col("member_1").alias("a")).agg(some.alias("some")).select("a", F.explode("some").alias("s")).select("a", "s.b")
+    inside = side(members.join(lead.where("many > 1").select("grp"), "grp", "left_semi"), ("grp", "member"), 1)
+    inside = inside.join(side(lead.where("many > 1"), ("grp", "member"), 2), F.expr("grp_1 = grp_2 and member_1 <> member_2")).where(near)
+    first = first.union(inside.select("member_1", "member_2")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    first = materialize(first.where("a <> b").distinct(), "pairs")
+    links = materialize(_verified(first, sets_of(first), percent), "links")
     roots = components(links)
 
     # Second pass: whatever passes the filters and is not connected yet.
-    labelled = materialize(members.join(roots, members["member"] == roots["node"], "left").select("grp", "member", F.coalesce("root", "member").alias("comp")), "labelled")
-    short = met.where("kind = 1").select(F.col("x").alias("ga"), F.col("y").alias("gb")).distinct()
-    short = short.union(grouped.where("many > 1").select(F.col("grp").alias("ga"), F.col("grp").alias("gb")))
-    one = labelled.select(F.col("grp").alias("ga"), F.col("member").alias("ma"), F.col("comp").alias("ca"))
-    two = labelled.select(F.col("grp").alias("gb"), F.col("member").alias("mb"), F.col("comp").alias("cb"))
-    apart = short.join(one, "ga").join(two.withColumnRenamed("gb", "other"), F.expr("gb = other and ca <> cb and (ga <> gb or ma < mb)"))
-    apart = apart.select(F.least("ma", "mb").alias("a"), F.greatest("ma", "mb").alias("b"))
-    long_lists = met.where("kind = 2").select(F.col("x").alias("gram"), F.col("y").alias("grp"), F.col("z").alias("place")).join(labelled, "grp")
+    labelled = members.join(roots, members["member"] == roots["node"], "left").withColumn("comp", F.coalesce("root", "member")).drop("root", "node", "first_doc")
+    labelled = materialize(labelled, "labelled")
+    short = met_pairs.where("kind = 1").select("grp_1", "grp_2").union(lead.where("many > 1").select("grp", "grp"))
+    one, two = side(labelled, ("grp", "member", "comp"), 1), side(labelled, ("grp", "member", "comp"), 2)
+    apart = short.join(one, "grp_1").join(two.withColumnRenamed("grp_2", "other"), F.expr("grp_2 = other and comp_1 <> comp_2 and (grp_1 <> grp_2 or member_1 < member_2)") & near)
+    apart = apart.select(F.least("member_1", "member_2").alias("a"), F.greatest("member_1", "member_2").alias("b"))
+    long_lists = met.where("kind = 2").select(F.col("x").alias("gram"), F.col("y").alias("grp"), F.col("z").alias("place")).join(labelled.drop("size"), "grp")
     by_comp = long_lists.groupBy("gram", "comp").agg(F.count("*").alias("n"))
     lists = by_comp.groupBy("gram").agg(F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.sum("n").alias("n"), F.count("*").alias("comps")).where("comps > 1")
     lists = lists.select("gram", "largest", F.ceil(F.col("n") / _BLOCK).cast("int").alias("shards"))
@@ -411,14 +433,14 @@ def link_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     seats = F.concat(F.array(own), F.coalesce(guests, F.array().cast("array<struct<shard:int,role:int>>")))
     long_pairs = (
         long_lists.join(lists, "gram")
-        .select("gram", "place", "member", "comp", F.explode(seats).alias("seat"))
-        .select(F.xxhash64("gram", "seat.shard").alias("shard"), "seat.role", "place", "member", "comp")
+        .select("gram", "place", "member", "comp", *_SKETCH, F.explode(seats).alias("seat"))
+        .select(F.xxhash64("gram", "seat.shard").alias("shard"), "seat.role", "place", "member", "comp", *_SKETCH)
         .repartition(parts, "shard")
         .sortWithinPartitions("shard")
         .mapInArrow(_rest(percent), "a long, b long")
     )
-    second = apart.union(long_pairs).distinct().join(first, ["a", "b"], "left_anti")
-    more = materialize(_verified(second, sets, percent).union(links), "links")
+    second = materialize(apart.union(long_pairs).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
+    more = materialize(_verified(second, sets_of(second), percent).union(links), "links")
     roots = materialize(components(more), "roots")
 
     named = members.join(roots, members["member"] == roots["node"], "left").select("member", "first_doc", F.coalesce("root", "member").alias("comp"))

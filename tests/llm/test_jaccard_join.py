@@ -96,3 +96,15 @@ def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (None, 3)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert {got[i] for i in range(41)} == {0} and {got[i] for i in range(100, 130)} == {100}
+
+
+@given(st.sets(st.integers(0, 2**64 - 1), max_size=60), st.sets(st.integers(0, 2**64 - 1), max_size=60), st.sets(st.integers(0, 2**64 - 1), max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_sketches_never_overstate_the_difference(a, b, both):
+    import numpy as np
+
+    from leafmill.llm.jaccard_join import sketch
+
+    a, b = a | both, b | both
+    x, y = (sketch(np.array(sorted(s), dtype=np.uint64)) for s in (a, b))
+    assert int(np.bitwise_count((x ^ y).view(np.uint64)).sum()) <= len(a ^ b)
