@@ -279,9 +279,11 @@ def _meet(percent: int):
     return run
 
 
-def _rest(percent: int):
+def _rest(percent: int, closest: bool):
     """From shards of long lists, sorted by shard: pairs of members in different components.
 
+    closest: of the pairs of a member with one component, only that with the most similar sketches.
+
     role 0: members of the list's largest component, 2: other members, 1: the same other members, present in every shard.
     """
 
@@ -302,7 +304,12 @@ def _rest(percent: int):
                     ok = _pairs_pass(size[x], pos[x], size[j], pos[j], percent)
                     apart = np.bitwise_count((marks[j] ^ marks[i]).view(np.uint64)).sum(axis=1, dtype=np.int64)
                     ok &= apart <= size[x] + size[j] - 2 * overlap_needed(size[x], size[j], percent)
-                    a, b = member[x[ok]], member[j[ok]]
+                    x, j, apart = x[ok], j[ok], apart[ok]
+                    if closest and len(j):
+                        order = np.lexsort((member[j], apart, comp[j]))
+                        order = order[np.append([True], comp[j[order[1:]]] != comp[j[order[:-1]]])]
+                        x, j = x[order], j[order]
+                    a, b = member[x], member[j]
                     if len(a):
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
@@ -327,6 +334,35 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ga", "gb").mapInArrow(run, "a long, b long")
 
 
+def _unconnected(members, lead, met, met_pairs, roots, near, side, parts: int, percent: int, closest: bool) -> DataFrame:
+    """(a, b): pairs of members that met, pass the filters and are in different components of roots."""
+    labelled = members.join(roots, members["member"] == roots["node"], "left").withColumn("comp", F.coalesce("root", "member")).drop("root", "node", "first_doc")
+    labelled = materialize(labelled, "labelled")
+    short = met_pairs.where("kind = 1").select("grp_1", "grp_2").union(lead.where("many > 1").select("grp", "grp"))
+    one, two = side(labelled, ("grp", "member", "comp"), 1), side(labelled, ("grp", "member", "comp"), 2)
+    apart = short.join(one, "grp_1").join(two.withColumnRenamed("grp_2", "other"), F.expr("grp_2 = other and comp_1 <> comp_2 and (grp_1 <> grp_2 or member_1 < member_2)") & near)
+    apart = apart.select(F.least("member_1", "member_2").alias("a"), F.greatest("member_1", "member_2").alias("b"))
+
+    long_lists = met.where("kind = 2").select(F.col("x").alias("gram"), F.col("y").alias("grp"), F.col("z").alias("place")).join(labelled.select("grp", "member", "comp"), "grp")
+    by_comp = long_lists.groupBy("gram", "comp").agg(F.count("*").alias("n"))
+    lists = by_comp.groupBy("gram").agg(F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.sum("n").alias("n"), F.count("*").alias("comps")).where("comps > 1")
+    lists = lists.select("gram", "largest", F.ceil(F.col("n") / _BLOCK).cast("int").alias("shards"))
+    other = F.col("comp") != F.col("largest")
+    own = F.struct(F.pmod(F.xxhash64("member"), F.col("shards")).cast("int").alias("shard"), F.when(other, 2).otherwise(0).alias("role"))
+    guests = F.when(other, F.transform(F.sequence(F.lit(0), F.col("shards") - 1), lambda i: F.struct(i.alias("shard"), F.lit(1).alias("role"))))
+    seats = F.concat(F.array(own), F.coalesce(guests, F.array().cast("array<struct<shard:int,role:int>>")))
+    long_pairs = (
+        long_lists.join(lists, "gram")
+        .join(labelled.select("member", *_SKETCH), "member")
+        .select("gram", "place", "member", "comp", *_SKETCH, F.explode(seats).alias("seat"))
+        .select(F.xxhash64("gram", "seat.shard").alias("shard"), "seat.role", "place", "member", "comp", *_SKETCH)
+        .repartition(parts, "shard")
+        .sortWithinPartitions("shard")
+        .mapInArrow(_rest(percent, closest), "a long, b long")
+    )
+    return apart.union(long_pairs).distinct()
+
+
 def link_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", heavy_limit: int = 100_000) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) of every row of df.
 
@@ -407,41 +443,22 @@ def link_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     met_pairs = met_pairs.join(side(lead, ("grp", "member", "many"), 1), "grp_1").join(side(lead, ("grp", "member", "many"), 2), "grp_2")
     met_pairs = met_pairs.withColumn("near", near).where("near or many_1 > 1 or many_2 > 1")
     met_pairs = materialize(met_pairs.select("grp_1", "grp_2", "member_1", "member_2", "kind", "near"), "met-pairs")
-    some = F.slice(F.array_sort(F.collect_list(F.struct(F.xxhash64("member_1", "member_2").alias("h"), F.col("member_2").alias("b")))), 1, 3)
+    some = F.slice(F.array_sort(F.collect_list(F.struct(F.xxhash64("member_1", "member_2").alias("h"), F.col("member_2").alias("b")))), 1, 2)
     first = met_pairs.where("near").groupBy(F.col("member_1").alias("a")).agg(some.alias("some")).select("a", F.explode("some").alias("s")).select("a", "s.b")
     inside = side(members.join(lead.where("many > 1").select("grp"), "grp", "left_semi"), ("grp", "member"), 1)
     inside = inside.join(side(lead.where("many > 1"), ("grp", "member"), 2), F.expr("grp_1 = grp_2 and member_1 <> member_2")).where(near)
     first = first.union(inside.select("member_1", "member_2")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     first = materialize(first.where("a <> b").distinct(), "pairs")
     links = materialize(_verified(first, sets_of(first), percent), "links")
-    roots = components(links)
-
-    # Second pass: whatever passes the filters and is not connected yet.
-    labelled = members.join(roots, members["member"] == roots["node"], "left").withColumn("comp", F.coalesce("root", "member")).drop("root", "node", "first_doc")
-    labelled = materialize(labelled, "labelled")
-    short = met_pairs.where("kind = 1").select("grp_1", "grp_2").union(lead.where("many > 1").select("grp", "grp"))
-    one, two = side(labelled, ("grp", "member", "comp"), 1), side(labelled, ("grp", "member", "comp"), 2)
-    apart = short.join(one, "grp_1").join(two.withColumnRenamed("grp_2", "other"), F.expr("grp_2 = other and comp_1 <> comp_2 and (grp_1 <> grp_2 or member_1 < member_2)") & near)
-    apart = apart.select(F.least("member_1", "member_2").alias("a"), F.greatest("member_1", "member_2").alias("b"))
-    long_lists = met.where("kind = 2").select(F.col("x").alias("gram"), F.col("y").alias("grp"), F.col("z").alias("place")).join(labelled.drop("size"), "grp")
-    by_comp = long_lists.groupBy("gram", "comp").agg(F.count("*").alias("n"))
-    lists = by_comp.groupBy("gram").agg(F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.sum("n").alias("n"), F.count("*").alias("comps")).where("comps > 1")
-    lists = lists.select("gram", "largest", F.ceil(F.col("n") / _BLOCK).cast("int").alias("shards"))
-    other = F.col("comp") != F.col("largest")
-    own = F.struct(F.pmod(F.xxhash64("member"), F.col("shards")).cast("int").alias("shard"), F.when(other, 2).otherwise(0).alias("role"))
-    guests = F.when(other, F.transform(F.sequence(F.lit(0), F.col("shards") - 1), lambda i: F.struct(i.alias("shard"), F.lit(1).alias("role"))))
-    seats = F.concat(F.array(own), F.coalesce(guests, F.array().cast("array<struct<shard:int,role:int>>")))
-    long_pairs = (
-        long_lists.join(lists, "gram")
-        .select("gram", "place", "member", "comp", *_SKETCH, F.explode(seats).alias("seat"))
-        .select(F.xxhash64("gram", "seat.shard").alias("shard"), "seat.role", "place", "member", "comp", *_SKETCH)
-        .repartition(parts, "shard")
-        .sortWithinPartitions("shard")
-        .mapInArrow(_rest(percent), "a long, b long")
-    )
-    second = materialize(apart.union(long_pairs).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    more = materialize(_verified(second, sets_of(second), percent).union(links), "links")
-    roots = materialize(components(more), "roots")
+    roots = materialize(components(links), "roots")
+
+    # Second pass: whatever passes the filters and is not connected yet; first only the closest pairs, which connect most.
+    seen = first
+    for closest in (True, False):
+        pairs = materialize(_unconnected(members, lead, met, met_pairs, roots, near, side, parts, percent, closest).join(seen, ["a", "b"], "left_anti"), "pairs")
+        links = materialize(_verified(pairs, sets_of(pairs), percent).union(links), "links")
+        roots = materialize(components(links), "roots")
+        seen = seen.union(pairs)
 
     named = members.join(roots, members["member"] == roots["node"], "left").select("member", "first_doc", F.coalesce("root", "member").alias("comp"))
     names = named.groupBy("comp").agg(F.min("first_doc").alias("component_id"))
