@@ -68,16 +68,17 @@ def match_clusters(captions: DataFrame, clusters: DataFrame, cfg: Config = DEFAU
     return pairs.withColumn("_n", rank).where("_n = 1").drop("_n", "reach")
 
 
-def cross_page(captions: DataFrame, clusters: DataFrame, heights: Column, cfg: Config = DEFAULT) -> DataFrame:
+def cross_page(captions: DataFrame, clusters: DataFrame, heights: Column, cfg: Config = DEFAULT, candidates: DataFrame | None = None) -> DataFrame:
     """(doc_id, page, cap_id, cluster_id): captions high on a page with the largest unmatched cluster of the page before.
 
-    heights: page height, as a column over captions. One figure for each page.
+    heights: page height, as a column over candidates: the captions that may take a cluster, all by default. One figure
+    for each page.
     """
     c, g = captions.alias("c"), clusters.alias("g")
     own = (F.col("c.doc_id") == F.col("g.doc_id")) & (F.col("c.page") == F.col("g.page")) & (F.col("c.top") - F.col("g.top") >= cfg.figure_height)
     free = g.join(c, own, "left_anti").withColumn("area", (F.col("bottom") - F.col("top")) * (F.col("x1") - F.col("x0")))
     free = free.groupBy(*PAGE).agg(F.max_by("cluster_id", F.struct("area", -F.col("cluster_id"))).alias("cluster_id"))
-    high = captions.where(F.col("top") <= cfg.next_page_band * heights).withColumn("before", F.col("page") - 1)
+    high = (captions if candidates is None else candidates).where(F.col("top") <= cfg.next_page_band * heights).withColumn("before", F.col("page") - 1)
     pairs = high.alias("h").join(free.alias("f"), (F.col("h.doc_id") == F.col("f.doc_id")) & (F.col("h.before") == F.col("f.page")))
     pairs = pairs.select("h.doc_id", F.col("f.page").alias("page"), "h.cap_id", "f.cluster_id", "h.top")
     rank = F.row_number().over(Window.partitionBy("doc_id", "page").orderBy("top", "cap_id"))

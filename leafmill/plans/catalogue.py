@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions import text as fn
-from leafmill.operators import blocks, chunks, fenced, figures, geometry, lines, merge, tables, vectors
+from leafmill.operators import blocks, chunks, fenced, figures, geometry, lines, merge, pipelines, tables, vectors
 from leafmill.operators.config import DEFAULT, Config
 from leafmill.plans import oracles as sql
 from leafmill.sources import fixtures, readers, sinks
@@ -484,7 +484,7 @@ def _raw_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    r"""with r as (select l_orderkey, list([l_linenumber::varchar, l_returnflag, l_quantity::int::varchar, l_linestatus] order by l_linenumber) as body from lineitem group by l_orderkey),
+    r"""with r as (select l_orderkey, list([l_linenumber::varchar, l_returnflag, l_quantity::int::varchar, l_linestatus] order by l_linenumber, l_returnflag, l_quantity::int::varchar, l_linestatus) as body from lineitem group by l_orderkey),
 t as (select l_orderkey // 100 as doc_id, (l_orderkey % 100)::int as page, case when l_orderkey % 3 = 0 then list_prepend(['No', 'Flag', 'Quantity', 'Status'], body) else body end as rows from r),
 h as (select *, lag(page) over w as pp, lag(rows) over w as pr from t window w as (partition by doc_id order by page)),
 x as (select *, rows[1] as h1, pr[1] as h0 from h),
@@ -651,3 +651,72 @@ def vector_topk(spark: SparkSession, sf: str) -> DataFrame:
 def html_markdown(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_html(spark, fixtures.read(spark, sf, "pages"))
 
+
+
+# ---- composites
+
+
+
+@query()
+def borderless_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    zones = fixtures.words(spark, sf).where("page % 5 = 0").select("doc_id", "page", F.lit(90.0).alias("top"), F.lit(160.0).alias("bottom")).distinct()
+    found = pipelines.borderless_tables(fixtures.words(spark, sf), zones)
+    return found.select("table_id", "page", "top", "bottom", _joined("header", "|"), F.size("data").alias("n_rows"), "markdown")
+
+
+def _page_dims(spark: SparkSession, sf: str) -> DataFrame:
+    pages = fixtures.captions(spark, sf).select("doc_id", "page").union(fixtures.graphics(spark, sf).select("doc_id", "page")).distinct()
+    return pages.withColumn("width", F.lit(612.0)).withColumn("height", F.lit(800.0))
+
+
+def _rasters(spark: SparkSession, sf: str) -> DataFrame:
+    rect = F.array(F.struct(F.col("x0"), F.col("top").alias("y0"), F.col("x1"), F.col("bottom").alias("y1")))
+    g = fixtures.graphics(spark, sf).where("obj_id % 4 = 0")
+    return g.select("doc_id", "page", F.col("obj_id").alias("xref"), F.col("obj_id").alias("ord"), rect.alias("rects"), F.lit("png").alias("ext"), (F.col("obj_id") % 150).cast("int").alias("width"), F.lit(90).alias("height"), F.lit(True).alias("has_bytes"))
+
+
+def _raster_figures(spark: SparkSession, sf: str) -> DataFrame:
+    return pipelines.raster_figures(_rasters(spark, sf), _page_dims(spark, sf), fixtures.captions(spark, sf))
+
+
+@query(
+    f"""with {_GRAPHICS}, r as (select *, row_number() over (partition by page order by obj_id) as no from g where obj_id % 4 = 0 and obj_id % 150 >= 60),
+p as (select r.page, r.obj_id, cap.text, row_number() over (partition by r.page, r.obj_id order by cap.top - r.bottom, cap_id) as n from r join cap on r.page = cap.page and cap.top - r.bottom >= -2 and cap.top - r.bottom <= 35 and least(r.x1, cap.x1) - greatest(r.x0, cap.x0) >= 10)
+select r.page, r.top, r.bottom, coalesce(p.text, '') as caption, 'images/page' || r.page || '_img' || no || '.png' as path, (r.obj_id % 150)::int as width, 90 as height from r left join p on r.page = p.page and r.obj_id = p.obj_id and p.n = 1"""
+)
+def raster_figures(spark: SparkSession, sf: str) -> DataFrame:
+    return _raster_figures(spark, sf).drop("doc_id")
+
+
+def _vector_figures(spark: SparkSession, sf: str) -> DataFrame:
+    lines_ = fixtures.captions(spark, sf).select("doc_id", "page", F.col("cap_id").alias("line_id"), "top", "bottom", "x0", "text")
+    return pipelines.vector_figures(lines_, fixtures.graphics(spark, sf), _page_dims(spark, sf), _raster_figures(spark, sf))
+
+
+@query()
+def vector_figures(spark: SparkSession, sf: str) -> DataFrame:
+    return _vector_figures(spark, sf).drop("doc_id")
+
+
+@query()
+def all_images(spark: SparkSession, sf: str) -> DataFrame:
+    return pipelines.images(_raster_figures(spark, sf), _vector_figures(spark, sf)).drop("doc_id")
+
+
+@query()
+def parse_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Markdown with its own tables as layout tables, wider bordered ones over them, and images."""
+    md = _with_holes(spark, sf)
+    found = merge.markdown_tables(md)
+    header, data = tables.parse_markdown(F.col("table"))
+    top = F.col("table_no") * 100.0
+    layout = found.select("doc_id", F.lit(1).alias("page"), F.col("table_no").alias("id"), top.alias("top"), (top + 80.0).alias("bottom"), F.col("table").alias("markdown"), F.size(header).alias("n_cols"))
+    wide = found.where("table_no % 2 = 0").select("doc_id", F.lit(1).alias("page"), F.col("table_no").alias("table_id"), top.alias("top"), (top + 70.0).alias("bottom"), F.concat(header, F.array(F.lit("extra"))).alias("header"), F.transform(data, lambda r: F.concat(r, F.array(F.lit("x")))).alias("data"))
+    wide = wide.withColumn("markdown", fn.render_table(F.col("header"), F.col("data")))
+    extra = md.where("doc_id % 3 = 0").select("doc_id", F.lit(1).alias("page"), F.lit(5.0).alias("top"), F.lit("| n |\n|---|\n| 1 |").alias("markdown"))
+    return pipelines.parse_documents(md, wide, layout, extra, _images(spark, sf))
+
+
+@query()
+def fenced_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    return _flat(pipelines.chunk_fenced(fixtures.markdown(spark, sf)))

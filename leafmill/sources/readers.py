@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafmill.functions.text import strip
+
 LAYOUTS: dict[str, Callable[[SparkSession, str], dict[str, DataFrame]]] = {}
 
 
@@ -28,7 +30,7 @@ def read_html(spark: SparkSession, pages: DataFrame) -> DataFrame:
     html = F.regexp_replace(html, r"<[^>]*>", "")
     for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
         html = F.replace(html, F.lit(name), F.lit(char))
-    return pages.select(F.col("page_id").alias("doc_id"), F.trim(F.regexp_replace(html, r"\n\s*\n*", "\n")).alias("text"))
+    return pages.select(F.col("page_id").alias("doc_id"), strip(F.regexp_replace(html, r"\n\s*\n*", "\n")).alias("text"))
 
 
 def register_layout(name: str, reader: Callable[[SparkSession, str], dict[str, DataFrame]]) -> None:

@@ -13,7 +13,7 @@ from leafmill.operators.config import DEFAULT, Config
 
 
 def markdown_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
-    files = spark.readStream.option("wholetext", True).option("maxFilesPerTrigger", files_per_trigger).text(path)
+    files = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path, wholetext=True)
     stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
     return files.select(stem.alias("doc_id"), stem.alias("source_file"), F.col("value").alias("text"))
 
