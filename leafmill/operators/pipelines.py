@@ -2,7 +2,8 @@
 
 The relations come from a layout engine (see sources.readers.register_layout) or from stored tables:
 md(doc_id, source_file, text), words, graphics, raw_tables, layout_tables, raster_images, text_blocks, page_dims. A
-missing relation counts as an empty one where that makes sense.
+missing relation counts as an empty one where that makes sense. Intermediate tables that several steps read are written to
+the shared folder once, so that nothing is computed twice and plans stay short.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.functions.session import materialize
 from leafmill.functions.text import render_table
 from leafmill.operators import blocks, chunks, fenced, figures, geometry, merge, tables
 from leafmill.operators.config import DEFAULT, Config
@@ -33,18 +35,19 @@ def zones_of(found: DataFrame) -> DataFrame:
 def borderless_tables(words: DataFrame, zones: DataFrame | None = None, cfg: Config = DEFAULT) -> DataFrame:
     """(doc_id, table_id, page, top, bottom, header, data, markdown): tables of words aligned by blanks, merged over pages."""
     free = words if zones is None else geometry.outside_zones(words, zones, cfg)
-    rows = geometry.visual_rows(free, cfg)
+    rows = materialize(geometry.visual_rows(free, cfg), "rows")
     placed = rows.join(geometry.table_blocks(rows), [*PAGE, "row_id"])
     block = [*PAGE, "block_id"]
     spans = placed.groupBy(*block).agg(F.min("top").alias("top"), F.max("bottom").alias("bottom"), F.countDistinct("row_id").alias("rows"))
     need = F.when((F.col("page") > 1) & (F.col("top") < cfg.page_top), 2).otherwise(3)
     spans = spans.where(F.col("rows") >= need)
-    placed = placed.join(spans.select(*block), block, "left_semi")
+    spans = materialize(spans, "blocks")
+    placed = materialize(placed.join(spans.select(*block), block, "left_semi"), "placed")
     edges = geometry.column_boundaries(placed, cfg)
     wide = edges.groupBy(*block).agg(F.count("*").alias("n")).where("n >= 2").select(*block)
-    edges = edges.join(wide, block, "left_semi")
+    edges = materialize(edges.join(wide, block, "left_semi"), "edges")
     grids = geometry.merge_split_columns(geometry.grids(geometry.assign_columns(placed, edges, cfg), edges), cfg).where("size(edges) >= 2")
-    grids = grids.withColumn("grid", geometry.merge_orphan_rows(F.col("grid"))).join(spans, block)
+    grids = materialize(grids.withColumn("grid", geometry.merge_orphan_rows(F.col("grid"))).join(spans, block), "grids")
     width = F.size("edges")
     valid = tables.is_valid(F.col("grid"), width, cfg)
     rest = tables.is_page_top_rest(F.col("grid"), F.col("top"), F.col("page"), cfg)
@@ -89,11 +92,12 @@ def vector_figures(lines: DataFrame, graphics: DataFrame, page_dims: DataFrame,
     every matched caption, also where the crop is too small to keep.
     """
     found = figures.full_captions(figures.find_captions(lines), lines, cfg).withColumnRenamed("line_id", "cap_id")
-    found = figures.without_raster(found, rasters)
-    clusters = geometry.clusters(graphics, cfg)
+    found = materialize(figures.without_raster(found, rasters), "captions")
+    clusters = materialize(geometry.clusters(graphics, cfg), "clusters")
     own = figures.match_clusters(found, clusters, cfg).join(clusters.select(*PAGE, "cluster_id", "x0", "x1"), [*PAGE, "cluster_id"])
     own = own.where((F.col("fig_bottom") - F.col("fig_top") >= cfg.figure_height) & (F.col("x1") - F.col("x0") >= cfg.figure_width))
     number = F.row_number().over(Window.partitionBy(*PAGE).orderBy("fig_bottom", "cap_id")).cast("string")
+    own = materialize(own, "own-figures")
     own = own.withColumn("path", F.concat(F.lit("images/page"), F.col("page").cast("string"), F.lit("_fig"), number, F.lit(".png")))
     next_page = found.join(page_dims.select("doc_id", "page", F.col("height").alias("page_h")), [*PAGE])
     matched = own.select(*PAGE, "cap_id")
@@ -159,10 +163,10 @@ def better_tables(md: DataFrame, bordered: DataFrame, layout: DataFrame, cfg: Co
 def parse_documents(md: DataFrame, bordered: DataFrame, layout: DataFrame, borderless: DataFrame, pictures: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """(doc_id, text, n_replaced, n_borderless, n_images): the markdown with better tables, borderless tables and images."""
     text = md.select("doc_id", "text")
-    swaps = better_tables(text, bordered, layout, cfg)
-    text = merge.replace_tables(text, swaps)
+    swaps = materialize(better_tables(text, bordered, layout, cfg), "swaps")
+    text = materialize(merge.replace_tables(text, swaps), "text")
     text = merge.inject_tables(text, borderless.select("doc_id", "page", "top", "markdown"))
-    text = merge.drop_plain_captions(text)
+    text = merge.drop_plain_captions(materialize(text, "text"))
     text = merge.drop_repeated_captions(merge.inject_images(text, pictures), pictures)
     count = lambda df, name: df.groupBy("doc_id").agg(F.count("*").alias(name))
     for df, name in ((swaps, "n_replaced"), (borderless, "n_borderless"), (pictures, "n_images")):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions import text as fn
+from leafmill.functions.session import materialize
 from leafmill.operators import blocks, chunks, fenced, figures, geometry, lines, merge, pipelines, tables, vectors
 from leafmill.operators.config import DEFAULT, Config
 from leafmill.plans import oracles as sql
@@ -333,7 +334,7 @@ def visual_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _placed(spark: SparkSession, sf: str) -> DataFrame:
-    rows = geometry.visual_rows(fixtures.words(spark, sf))
+    rows = materialize(geometry.visual_rows(fixtures.words(spark, sf)), "rows")
     return rows.join(geometry.table_blocks(rows), ["doc_id", "page", "row_id"])
 
 
@@ -361,7 +362,7 @@ def _grids(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def borderless_tables(spark: SparkSession, sf: str) -> DataFrame:
-    found = _grids(spark, sf).withColumn("grid", geometry.merge_orphan_rows(F.col("grid"))).where(tables.is_valid(F.col("grid"), F.size("edges")))
+    found = materialize(_grids(spark, sf), "grids").withColumn("grid", geometry.merge_orphan_rows(F.col("grid"))).where(tables.is_valid(F.col("grid"), F.size("edges")))
     header, data = tables.grid_to_table(F.col("grid"), F.size("edges"))
     return found.select("page", "block_id", F.array_join(header, "|").alias("header"), F.array_join(F.transform(data, lambda r: F.array_join(r, "|")), "\n").alias("data"))
 
@@ -548,7 +549,7 @@ def md_table_render(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def cross_page_merge(spark: SparkSession, sf: str) -> DataFrame:
-    grids = _grids(spark, sf).withColumn("top", F.lit(120.0)).withColumn("bottom", F.lit(500.0)).where("block_id = 0")
+    grids = materialize(_grids(spark, sf), "grids").withColumn("top", F.lit(120.0)).withColumn("bottom", F.lit(500.0)).where("block_id = 0")
     header, data = tables.grid_to_table(F.col("grid"), F.size("edges"))
     rest = tables.is_page_top_rest(F.slice("grid", 1, 3), F.col("top"), F.col("page"))
     parts = grids.select(F.lit("part").alias("doc_id"), "page", "top", "bottom", header.alias("header"), data.alias("data"), "grid", rest.alias("is_cont"))
