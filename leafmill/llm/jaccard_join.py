@@ -74,9 +74,9 @@ def gram_set(text: str | None, n: int, cache: dict) -> np.ndarray:
     return np.unique(gram_hashes(word_hashes(text, cache), n))
 
 
-def sketch(grams: np.ndarray) -> np.ndarray:
-    """Parities of the grams in 512 slots, as 8 longs. Two sketches differ in at most as many bits as the sets in grams."""
-    parity = np.bincount((grams >> np.uint64(20)).astype(np.int64) & 511, minlength=512) & 1
+def sketch(grams: np.ndarray, slots: int = 512) -> np.ndarray:
+    """Parities of the grams in slots, packed in longs. Two sketches differ in at most as many bits as the sets in grams."""
+    parity = np.bincount((grams >> np.uint64(20)).astype(np.int64) & (slots - 1), minlength=slots) & 1
     return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
@@ -238,6 +238,8 @@ def _bounds(keys):
 
 
 _SKETCH = [f"s{i}" for i in range(8)]
+#: Sets over this size, whose differences 512 slots can't tell apart, have a second sketch of that many slots.
+_LARGE, _WIDE = 800, 8192
 _MET = "kind int, x long, y long, z long"
 
 
@@ -316,6 +318,26 @@ def _rest(percent: int, closest: bool):
     return run
 
 
+def _plausible(pairs: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
+    """pairs (a, b) without those whose wide sketches rule the threshold out; pairs without two of them stay."""
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for m, x, n, y in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
+                if x is None or y is None:
+                    keep.append(True)
+                    continue
+                bits = int(np.bitwise_count(np.frombuffer(x, np.uint64) ^ np.frombuffer(y, np.uint64)).sum())
+                keep.append(bits <= m + n - 2 * overlap_needed(m, n, percent))
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+
+    one = wide.select(F.col("member").alias("a"), F.col("size").alias("m"), F.col("wide").alias("x"))
+    two = wide.select(F.col("member").alias("b"), F.col("size").alias("n"), F.col("wide").alias("y"))
+    return pairs.join(one, "a", "left").join(two, "b", "left").select("a", "b", "m", "x", "n", "y").mapInArrow(run, "a long, b long")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of pairs (a, b) that are at or over the threshold."""
 
@@ -382,19 +404,21 @@ def link_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str =
                 grams = gram_set(text, n, cache)
                 size = len(grams)
                 if not size:
-                    rows.append((0, None, None, None, *[None] * 8))
+                    rows.append((0, None, None, None, None, *[None] * 8))
                     continue
                 prefix = order.keys(grams)[: probe_length(size, percent)].tobytes()
-                rows.append((size, _name(grams), _name(size, prefix), prefix, *sketch(grams).tolist()))
-            cols = list(zip(*rows, strict=True)) or [()] * 12
-            arrays = [pa.array(c, pa.binary() if i == 3 else pa.int64()) for i, c in enumerate(cols)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "size", "member", "grp", "prefix", *_SKETCH])
+                rows.append((size, _name(grams), _name(size, prefix), prefix, sketch(grams, _WIDE).tobytes() if size > _LARGE else None, *sketch(grams).tolist()))
+            cols = list(zip(*rows, strict=True)) or [()] * 13
+            arrays = [pa.array(c, pa.binary() if i in (3, 4) else pa.int64()) for i, c in enumerate(cols)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "size", "member", "grp", "prefix", "wide", *_SKETCH])
 
-    signed = docs.mapInArrow(sign, "doc_id long, size long, member long, grp long, prefix binary, " + ", ".join(f"{c} long" for c in _SKETCH))
+    signed = docs.mapInArrow(sign, "doc_id long, size long, member long, grp long, prefix binary, wide binary, " + ", ".join(f"{c} long" for c in _SKETCH))
     signed = materialize(signed, "signed")
     marks = [F.max(c).alias(c) for c in ("size", *_SKETCH)]  # equal for all rows of a member
     members = signed.where("size > 0").groupBy("member", "grp").agg(F.min("doc_id").alias("first_doc"), *marks)
     members = materialize(members, "members")
+    wide = signed.where("wide is not null").select("member", "size", "wide").dropDuplicates(["member"])
+    wide = materialize(wide, "wide-sketches")
 
     def postings(batches):
         for batch in batches:
@@ -448,14 +472,15 @@ def link_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     inside = side(members.join(lead.where("many > 1").select("grp"), "grp", "left_semi"), ("grp", "member"), 1)
     inside = inside.join(side(lead.where("many > 1"), ("grp", "member"), 2), F.expr("grp_1 = grp_2 and member_1 <> member_2")).where(near)
     first = first.union(inside.select("member_1", "member_2")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    first = materialize(first.where("a <> b").distinct(), "pairs")
+    first = materialize(_plausible(first.where("a <> b").distinct(), wide, percent), "pairs")
     links = materialize(_verified(first, sets_of(first), percent), "links")
     roots = materialize(components(links), "roots")
 
     # Second pass: whatever passes the filters and is not connected yet; first only the closest pairs, which connect most.
     seen = first
     for closest in (True, False):
-        pairs = materialize(_unconnected(members, lead, met, met_pairs, roots, near, side, parts, percent, closest).join(seen, ["a", "b"], "left_anti"), "pairs")
+        pairs = _unconnected(members, lead, met, met_pairs, roots, near, side, parts, percent, closest).join(seen, ["a", "b"], "left_anti")
+        pairs = materialize(_plausible(pairs, wide, percent), "pairs")
         links = materialize(_verified(pairs, sets_of(pairs), percent).union(links), "links")
         roots = materialize(components(links), "roots")
         seen = seen.union(pairs)

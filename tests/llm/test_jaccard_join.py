@@ -73,6 +73,16 @@ def test_long_lists_are_cut_and_sharded(spark, monkeypatch):
     assert sorted(map(tuple, got)) == brute(rows, 4, 85)
 
 
+def test_wide_sketches_lose_no_link(spark, monkeypatch):
+    from leafmill.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "_LARGE", 5)
+    rows = corpus(13, families=5, copies=20, loners=20)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = link_components(df, n=4, percent=85, heavy_limit=50).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == brute(rows, 4, 85)
+
+
 def test_empty_table_and_odd_rows(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert link_components(df).collect() == []
