@@ -4,16 +4,21 @@ Texts become templates: numbers, names (capital words inside a sentence) and uni
 placeholders, the rest is lower-cased words. Windows of template tokens of benchmark items are looked up by hash in those
 of all documents. Along each alignment of a document with an item, the values in the slots must agree up to a renaming:
 each item value stands against one document value and the other way round. A document leaks an item if consistent
-alignments cover enough of the item's windows; so re-parameterised questions are caught as well as exact copies.
+alignments cover enough of the item's windows, or one of them runs on for long; so re-parameterised questions are caught
+as well as exact copies.
 
-Cases: null and empty texts have no windows; items shorter than a window are one window of their own length; windows with
-under half literal words are ignored; items without any window leak nowhere; repeated rows give repeated matches, told
-once for each (doc_id, item_id); rows with a null id take no part, as there is nothing to report or drop them by.
+Names are told by their capitals, so three kinds of evidence are looked for, each with a coverage of its own: templates as
+above; templates of the case-folded text, in which names are literal words; and these together with the windows of few
+literal words, which are compared as they are, numbers and units too. White space of any kind and length counts as one blank.
+
+Cases: null and empty texts have no windows; items shorter than a window are one window of their own length; windows
+with under half literal words count as they are only, and not at all where an item is shorter than a window; items without any window leak nowhere; repeated rows give repeated matches, told once for each (doc_id, item_id)
+with the kind that covers most; rows with a null id take no part, as there is nothing to report or drop them by.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions.session import materialize
@@ -27,13 +32,17 @@ dollar dollars euro euros cent cents percent degrees degree""".split()
 _NAME = r"(?<=[\p{L}\p{N},;:] )\p{Lu}[\p{L}\p{N}]*"
 _NUMBER = r"[0-9]+(?:[.,:/][0-9]+)*"
 _UNIT = r"(?<=[0-9] ?)(?:" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{N}])"
+_SPACE = r"[\s\p{Z}]+"
 _GAP = r"[^\p{L}" + NUMBER + "-" + NAME + "]+"
+#: Kinds of windows.
+TEMPLATE, FOLDED, WORDS = 0, 1, 2
 #: Windows whose hashes are broadcast at a time (8 bytes each).
 BLOCK = 1_000_000
 
 
 def template(text: Column) -> Column:
     """Array of template tokens."""
+    text = F.regexp_replace(text, _SPACE, " ")
     marked = F.regexp_replace(F.regexp_replace(text, _NAME, f" {NAME} "), _UNIT, f" {UNIT} ")
     marked = F.regexp_replace(marked, _NUMBER, f" {NUMBER} ")
     spaced = F.trim(F.regexp_replace(F.lower(marked), _GAP, " "))
@@ -42,22 +51,63 @@ def template(text: Column) -> Column:
 
 def slot_values(text: Column) -> Column:
     """Array of what stands in the slots, in order, lower-cased."""
+    text = F.regexp_replace(text, _SPACE, " ")
     return F.transform(F.regexp_extract_all(text, F.lit(f"{_NAME}|{_NUMBER}|{_UNIT}"), F.lit(0)), F.lower)
 
 
-def _windows(tokens: Column, length: int) -> Column:
-    last = F.size(tokens) - length
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(tokens, i + 1, length)))).otherwise(
-        F.array().cast("array<bigint>")
-    )
+def folded_words(text: Column) -> Column:
+    """Array of the case-folded words and numbers of a text."""
+    found = F.regexp_extract_all(F.lower(F.upper(text)), F.lit(_NUMBER + r"|\p{L}+"), F.lit(0))
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
+def _is_number(word: Column) -> Column:
+    return (word >= "0") & (word < ":")
+
+
+def folded_template(words: Column) -> Column:
+    """Template tokens in the places of folded_words(); names stay words."""
+    unit = lambda w, i: w.isin(UNITS) & (i > 0) & _is_number(F.get(words, i - 1))
+    return F.transform(words, lambda w, i: F.when(_is_number(w), NUMBER).when(unit(w, i), UNIT).otherwise(w))
+
+
+def _all_tokens(rows: DataFrame, key: str) -> DataFrame:
+    """(key, and the tokens of each kind: t0, t1, t2) of rows (key, text)."""
+    cut = rows.select(key, template(F.col("text")).alias("t0"), folded_words(F.col("text")).alias("t2"))
+    return cut.select(key, "t0", folded_template(F.col("t2")).alias("t1"), "t2")
+
+
+def _marks(tokens: Column) -> Column:
+    return F.transform(tokens, lambda t: F.xxhash64(t))
+
+
+def _hash(marks: Column, at: Column, length: int, kind: int) -> Column:
+    """Hash of the window of `length` tokens at a place; marks are hashes of tokens."""
+    return F.xxhash64(F.lit(kind), *(F.get(marks, at + i) for i in range(length)))
+
+
+def _part_hash(part: Column, window: int, kind: int) -> Column:
+    """The same hash of a window that stands alone, of up to `window` tokens."""
+    whole = [F.when(F.size(part) == n, _hash(_marks(part), F.lit(0), n, kind)) for n in range(1, window + 1)]
+    return F.coalesce(*whole)
+
+
+def _windows(marks: Column, length: int, kind: int) -> Column:
+    """Array of (dpos, hash)."""
+    last = F.size(marks) - length
+    shown = lambda i: F.struct(i.alias("dpos"), _hash(marks, i, length, kind).alias("hash"))
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), shown)).otherwise(F.array().cast("array<struct<dpos:int,hash:bigint>>"))
 
 
 def _slots(rows: DataFrame, key: str) -> DataFrame:
-    """(key, pos, value) of every slot of rows (key, text)."""
-    tokens = rows.select(key, template(F.col("text")).alias("tokens"), slot_values(F.col("text")).alias("values"))
-    places = F.filter(F.transform("tokens", lambda t, i: F.when(t.isin(NUMBER, UNIT, NAME), i)), lambda i: i.isNotNull())
-    zipped = tokens.select(key, F.explode(F.arrays_zip(places.alias("pos"), F.col("values").alias("value"))).alias("z"))
-    return zipped.select(key, F.col("z.pos").alias("pos"), F.col("z.value").alias("value"))
+    """(key, kind, pos, value) of every slot of rows (key, text); FOLDED and WORDS have the same."""
+    cut = rows.select(key, template(F.col("text")).alias("t0"), slot_values(F.col("text")).alias("values"), folded_words(F.col("text")).alias("t2"))
+    cut = cut.select(key, "t0", "values", folded_template(F.col("t2")).alias("t1"), "t2")
+    places = lambda tokens: F.filter(F.transform(tokens, lambda t, i: F.when(t.isin(NUMBER, UNIT, NAME), i)), lambda i: i.isNotNull())
+    zipped = cut.select(key, F.lit(TEMPLATE).alias("kind"), F.explode(F.arrays_zip(places("t0").alias("pos"), F.col("values").alias("value"))).alias("z"))
+    folded = F.filter(F.transform("t1", lambda t, i: F.when(t.isin(NUMBER, UNIT), F.struct(i.alias("pos"), F.get("t2", i).alias("value")))), lambda z: z.isNotNull())
+    zipped = zipped.union(cut.select(key, F.explode(folded).alias("z")).select(key, F.explode(F.array(F.lit(FOLDED), F.lit(WORDS))).alias("kind"), "z"))
+    return zipped.select(key, "kind", F.col("z.pos").alias("pos"), F.col("z.value").alias("value"))
 
 
 def leaks(
@@ -69,27 +119,39 @@ def leaks(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
+    run: int = 50,
 ) -> DataFrame:
-    """(doc_id, item_id, matched, n_windows, coverage, n_slots): pairs of which coverage or more of the item is found."""
+    """(doc_id, item_id, matched, n_windows, coverage, n_slots): pairs of which coverage or more of the item, or `run` tokens of it on end, are found."""
     docs = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
     items = benchmark.select(benchmark[item_col].alias("item_id"), benchmark[item_text_col].cast("string").alias("text")).dropDuplicates(["item_id", "text"])
-    cut = items.select("item_id", template(F.col("text")).alias("tokens")).where("item_id is not null and size(tokens) > 0")
-    cut = cut.withColumn("length", F.least(F.lit(window), F.size("tokens")))
-    by_length = F.transform(F.sequence(F.lit(0), F.size("tokens") - F.col("length")), lambda i: F.slice("tokens", i + 1, F.col("length")))
-    cut = cut.select("item_id", "length", F.posexplode(by_length).alias("ipos", "part"))
-    literal = F.size(F.filter("part", lambda t: ~t.isin(NUMBER, UNIT, NAME)))
-    cut = cut.where(literal * 2 > F.col("length")).select("item_id", "length", "ipos", F.xxhash64("part").alias("hash"))
+    cut = None
+    for kind in (TEMPLATE, FOLDED):
+        tokens = _all_tokens(items, "item_id").select("item_id", F.col(f"t{kind}").alias("tokens"), F.col("t2").alias("words"))
+        tokens = tokens.where("item_id is not null and size(tokens) > 0").withColumn("length", F.least(F.lit(window), F.size("tokens")))
+        slices = lambda i: F.struct(*(F.slice(c, i + 1, F.col("length")).alias(c) for c in ("tokens", "words")))
+        part = tokens.select("item_id", "length", F.posexplode(F.transform(F.sequence(F.lit(0), F.size("tokens") - F.col("length")), slices)).alias("ipos", "p"))
+        literal = F.size(F.filter("p.tokens", lambda t: ~t.isin(NUMBER, UNIT, NAME)))
+        rich = part.where(literal * 2 > F.col("length")).select("item_id", F.lit(kind).alias("kind"), F.lit(kind).alias("by"), "length", "ipos", _part_hash(F.col("p.tokens"), window, kind).alias("hash"))
+        cut = rich if cut is None else cut.union(rich)
+        if kind == FOLDED:
+            poor = part.where((literal * 2 <= F.col("length")) & (F.col("length") == window))
+            cut = cut.union(poor.select("item_id", F.lit(WORDS).alias("kind"), F.lit(WORDS).alias("by"), "length", "ipos", _part_hash(F.col("p.words"), window, WORDS).alias("hash")))
+            both = rich.join(poor.select("item_id").distinct(), "item_id", "left_semi")
+            cut = cut.union(both.withColumn("kind", F.lit(WORDS)))
     cut = materialize(cut, "item-windows")
-    lengths = sorted(r["length"] for r in cut.select("length").distinct().collect())  # at most `window` values
+    kinds = sorted((r["length"], r["by"]) for r in cut.select("length", "by").distinct().collect())  # at most 3 times `window` values
     hashes = cut.select("length", "hash").distinct()
     many = hashes.count()
     blocks = -(-many // BLOCK)
 
     docs = docs.where("doc_id is not null")
-    tokens = docs.select("doc_id", template(F.col("text")).alias("tokens"))
+    tokens = _all_tokens(docs, "doc_id")
+    used = sorted({by for _, by in kinds})
+    tokens = tokens.select("doc_id", *(_marks(F.col(f"t{by}")).alias(f"m{by}") for by in used))
     found = None
-    for length in lengths:
-        shown = tokens.select("doc_id", F.posexplode(_windows(F.col("tokens"), length)).alias("dpos", "hash"))
+    for length in sorted({n for n, _ in kinds}):
+        shown = F.concat(*(_windows(F.col(f"m{by}"), length, by) for n, by in kinds if n == length))
+        shown = tokens.select("doc_id", F.explode(shown).alias("w")).select("doc_id", "w.dpos", "w.hash")
         for block in range(blocks):  # each block of hashes is small enough to broadcast
             part = hashes.where((F.col("length") == length) & (F.pmod(F.col("hash"), F.lit(blocks)) == block)).select("hash")
             hit = shown.join(F.broadcast(part), "hash", "left_semi").select(F.lit(length).alias("length"), "doc_id", "dpos", "hash")
@@ -99,26 +161,37 @@ def leaks(
     found = materialize(found, "window-hits")
 
     # Documents with enough different windows of an item; then their alignments.
-    totals = cut.groupBy("item_id").agg(F.count("*").alias("n_windows"))
-    met = found.join(cut, ["length", "hash"]).select("doc_id", "item_id", "ipos", (F.col("dpos") - F.col("ipos")).alias("shift"), "length")
+    pair = ["doc_id", "item_id", "kind"]
+    totals = cut.groupBy("item_id", "kind").agg(F.count("*").alias("n_windows"))
+    met = found.join(cut, ["length", "hash"]).select(*pair, "ipos", (F.col("dpos") - F.col("ipos")).alias("shift"), "length")
     met = met.distinct()
-    enough = met.groupBy("doc_id", "item_id").agg(F.countDistinct("ipos").alias("matched")).join(totals, "item_id")
-    enough = materialize(enough.where(F.col("matched") >= coverage * F.col("n_windows")).select("doc_id", "item_id"), "leak-candidates")
-    met = materialize(met.join(enough.hint("shuffle_hash"), ["doc_id", "item_id"], "left_semi"), "leak-windows")
-    lines = met.groupBy("doc_id", "item_id", "shift").agg(F.min("ipos").alias("lo"), F.max(F.col("ipos") + F.col("length")).alias("hi"))
+    enough = met.groupBy(*pair).agg(F.countDistinct("ipos").alias("matched")).join(totals, ["item_id", "kind"])
+    least = F.least(coverage * F.col("n_windows"), F.lit(run / window))
+    enough = materialize(enough.where(F.col("matched") >= least).select(*pair), "leak-candidates")
+    met = materialize(met.join(enough.hint("shuffle_hash"), pair, "left_semi"), "leak-windows")
+    lines = met.groupBy(*pair, "shift").agg(F.min("ipos").alias("lo"), F.max(F.col("ipos") + F.col("length")).alias("hi"))
 
     suspects = semi(docs, enough.select("doc_id").distinct(), "doc_id")
-    doc_slots = _slots(suspects, "doc_id").select("doc_id", F.col("pos").alias("at"), F.col("value").alias("theirs"))
-    item_slots = _slots(items, "item_id").select("item_id", F.col("pos").alias("ipos"), F.col("value").alias("ours"))
-    slots = lines.join(item_slots, "item_id").where("ipos >= lo and ipos < hi").withColumn("at", F.col("ipos") + F.col("shift"))
-    slots = slots.join(doc_slots, ["doc_id", "at"]).groupBy("doc_id", "item_id", "shift")
+    doc_slots = _slots(suspects, "doc_id").select("doc_id", "kind", F.col("pos").alias("at"), F.col("value").alias("theirs"))
+    item_slots = _slots(items, "item_id").select("item_id", "kind", F.col("pos").alias("ipos"), F.col("value").alias("ours"))
+    slots = lines.join(item_slots, ["item_id", "kind"]).where("ipos >= lo and ipos < hi").withColumn("at", F.col("ipos") + F.col("shift"))
+    slots = slots.join(doc_slots, ["doc_id", "kind", "at"]).groupBy(*pair, "shift")
     checked = slots.agg(
         F.countDistinct("ours", "theirs").alias("pairs"), F.countDistinct("ours").alias("n_ours"), F.countDistinct("theirs").alias("n_theirs"), F.count("*").alias("n_slots")
     )
-    kept = met.join(checked, ["doc_id", "item_id", "shift"], "left").where("pairs is null or (pairs = n_ours and pairs = n_theirs)")
-    final = kept.groupBy("doc_id", "item_id").agg(F.countDistinct("ipos").alias("matched"), F.coalesce(F.max("n_slots"), F.lit(0)).alias("n_slots"))
-    final = final.join(totals, "item_id").withColumn("coverage", F.col("matched") / F.col("n_windows"))
-    return final.where(F.col("coverage") >= coverage).select("doc_id", "item_id", "matched", "n_windows", "coverage", "n_slots")
+    kept = met.join(checked, [*pair, "shift"], "left").where("pairs is null or (pairs = n_ours and pairs = n_theirs)")
+
+    # Tokens on end: a window that starts beyond the end of the one before it starts a new run.
+    order = Window.partitionBy(*pair, "shift").orderBy("ipos")
+    gap = F.coalesce(F.col("ipos") - F.lag("ipos").over(order) > F.col("length"), F.lit(False))
+    runs = kept.withColumn("part", F.sum(gap.cast("int")).over(order)).groupBy(*pair, "shift", "part")
+    runs = runs.agg((F.max(F.col("ipos") + F.col("length")) - F.min("ipos")).alias("run")).groupBy(*pair).agg(F.max("run").alias("run"))
+
+    final = kept.groupBy(*pair).agg(F.countDistinct("ipos").alias("matched"), F.coalesce(F.max("n_slots"), F.lit(0)).alias("n_slots"))
+    final = final.join(totals, ["item_id", "kind"]).join(runs, pair).withColumn("coverage", F.col("matched") / F.col("n_windows"))
+    final = final.where((F.col("coverage") >= coverage) | (F.col("run") >= run))
+    best = F.max_by(F.struct("matched", "n_windows", "coverage", "n_slots"), F.struct("coverage", -F.col("kind"))).alias("best")
+    return final.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 
 #: Ids that are broadcast at most.

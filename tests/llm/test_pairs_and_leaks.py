@@ -153,6 +153,26 @@ def test_leaks_match_brute_force(spark):
     assert got == want and want
 
 
+RUN = " ".join(f"{w} of {v} alone" for w in ("one", "two", "red", "blue", "old", "new") for v in ("ax", "bow", "cup", "dot"))
+COPIES = [
+    (1, "intro. " + ITEM.upper() + " OUTRO", True),
+    (2, ITEM.lower(), True),
+    (3, ITEM.replace(" ", "\n", 7).replace("Boston", "Boston\n\n") + "\n", True),
+    (4, ITEM.upper().replace("60", "72").replace("45", "50"), True),
+    (5, ITEM.upper().replace("60", "72", 1).replace("45", "50"), False),
+    (6, ITEM.lower()[: len(ITEM) // 2], False),
+]
+
+
+def test_copies_in_another_case_or_wrapped_otherwise_leak(spark):
+    more = [(11, "so 3 4 17.5 22 9 81 6 it is"), (12, "so 3 4 17.5 22 9 81 7 it is"), (13, RUN[: len(RUN) * 2 // 3]), (14, RUN[: len(RUN) // 3])]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in COPIES] + more, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, ITEM), (8, "3 4 17.5 22 9 81 6"), (9, RUN)], "item_id long, text string")
+    found = decontaminate.leaks(docs, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, 7) for i, _, leak in COPIES if leak} | {(11, 8), (13, 9)}
+    assert len(found) == 6 and all(r.coverage == 1 for r in found if r.doc_id < 12)
+
+
 def test_pipeline_stages(spark, tmp_path):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
