@@ -3,8 +3,9 @@
 Three base kinds are patterns over the whole text. The method proper then lexes source and configuration syntax into
 name-literal pairs (=, :, :=, =>; quoted and bare literals; literals joined by +), binds names to their literals, and
 follows names through later assignments and keyword arguments. A literal is scored by the most sensitive name that it
-reaches, its length and its mix of characters; what scores enough and is not covered by a base span is a further span,
-of kind "pair".
+reaches, its length and its mix of characters; what scores enough and is not fully covered by a base span is a further
+span, of kind "pair". So is a literal that an assignment pattern ends inside of, whatever its score. Type annotations
+before = are passed over.
 
 Cases: a null or empty text has no spans; positions count code points, ends are exclusive; equal rows give equal spans;
 a text without a sensitive word is not lexed, as no name in it could be sensitive.
@@ -32,8 +33,10 @@ SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 0.9, "passphrase": 1.0, "sec
 PLACEHOLDERS = frozenset("changeme example placeholder password passwd secret token none null true false undefined xxx todo your redacted".split())
 _NAME = r"[A-Za-z_$][\w$]*(?:[.-][A-Za-z_$][\w$]*)*"
 _LITERAL = r'"(?:[^"\\\n]|\\.)*"' + r"|'(?:[^'\\\n]|\\.)*'" + r"|`[^`\n]*`"
+_TYPE_NAME = r"[&*]?(?:'\w+[ \t]+)?[A-Za-z_][\w.]*(?:<[^<>\n=]{0,60}>|\[[^\[\]\n=]{0,60}(?:\[[^\[\]\n=]{0,60}\][^\[\]\n=]{0,60})?\])?\??(?:[ \t]+str\b)?"
+_TYPE = rf"""(?:[ \t]*\??:[ \t]*{_TYPE_NAME}(?:[ \t]*\|[ \t]*{_TYPE_NAME})*|[ \t]+string)(?=[ \t]*=[ \t]*["'`]|[ \t]+=[ \t]+[^\s=])"""
 _PAIR = re.compile(
-    rf"""(?:(?P<name>{_NAME})|(?P<q>["'])(?P<quoted>[^"'\n]{{1,80}})(?P=q))[ \t]*(?:\[[^\]\n]{{0,40}}\][ \t]*)?(?::=|=>|=(?!=)|:(?![:/]))[ \t]*(?P<value>(?:{_LITERAL})(?:[ \t]*\+[ \t]*(?:{_LITERAL}))*|[^\s,;"'`#(){{}}\[\]]+)"""
+    rf"""(?:(?P<name>{_NAME})|(?P<q>["'])(?P<quoted>[^"'\n]{{1,80}})(?P=q))(?:{_TYPE})?[ \t]*(?:\[[^\]\n]{{0,40}}\][ \t]*)?(?::=|=>|=(?!=)|:(?![:/]))[ \t]*(?P<value>(?:{_LITERAL})(?:[ \t]*\+[ \t]*(?:{_LITERAL}))*|[^\s,;"'`#(){{}}\[\]]+)"""
 )
 _PIECE = re.compile(_LITERAL)
 _THRESHOLD = 0.6
@@ -54,8 +57,8 @@ def score(literal: str, sensitive: float) -> float:
     return sensitive * min(1.0, 0.25 + 0.12 * bits + 0.08 * kinds) * (0.4 if " " in literal.strip() else 1.0)
 
 
-def lexed(text: str) -> list[tuple[int, int, str, float]]:
-    """(start, end, name, score) of literals that reach a sensitive name."""
+def lexed(text: str, assigned: list[tuple[int, int]] = ()) -> list[tuple[int, int, str, float]]:
+    """(start, end, name, score) of literals that reach a sensitive name, or that one of the assigned spans ends inside of."""
     if not any(k in flat for flat in (re.sub(r"[^a-z]", "", text.lower()),) for k in SENSITIVE):
         return []
     bound: dict[str, tuple[int, int, str]] = {}
@@ -75,9 +78,10 @@ def lexed(text: str) -> list[tuple[int, int, str, float]]:
             end = start + len(literal)
         bound[name] = (start, end, literal)
         got = score(literal, sensitivity(name))
-        if got > best.get((start, end), (0.0, ""))[0]:
+        if (start, end) not in best or got > best[start, end][0]:
             best[start, end] = (got, name)
-    return sorted((s, e, name, got) for (s, e), (got, name) in best.items() if got >= _THRESHOLD)
+    cut_off = lambda s, e: any(a < s < b < e for a, b in assigned)
+    return sorted((s, e, name, got) for (s, e), (got, name) in best.items() if got >= _THRESHOLD or cut_off(s, e))
 
 
 def find(text: str | None) -> list[tuple[str, int, int, str, float]]:
@@ -93,7 +97,8 @@ def find(text: str | None) -> list[tuple[str, int, int, str, float]]:
     spans += [("hex", *m.span(), "", 1.0) for m in _HEX.finditer(text)]
     if "=" in text or ":" in text:
         covered = [(s, e) for _, s, e, _, _ in spans]
-        spans += [("pair", s, e, n, got) for s, e, n, got in lexed(text) if not any(s < b and a < e for a, b in covered)]
+        assigned = [(s, e) for kind, s, e, _, _ in spans if kind == "assign"]
+        spans += [("pair", s, e, n, got) for s, e, n, got in lexed(text, assigned) if not any(a <= s and e <= b for a, b in covered)]
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 

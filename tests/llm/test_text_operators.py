@@ -140,6 +140,24 @@ def test_redact_keeps_the_rest(spark):
     assert [tuple(r) for r in secrets.redact(df).orderBy("doc_id").collect()] == [(1, "a [secret] b", "k"), (2, "clean", "k")]
 
 
+@pytest.mark.parametrize(
+    "text, left",
+    [
+        ('password = "hunter2x!Zq9#Lm4pQ" # end', '[secret]" # end'),
+        ("passwd: 'correct$horse9Battery'", "[secret]'"),
+        ('token = "correct horse battery staple"', '[secret]"'),
+        ('api_key: str = "sk_live_4eC39HqLyjW"', 'api_key: str = "[secret]"'),
+        ("const secretKey: string | null = 'Zx9-Qw3_Rt7!Lp2';", "const secretKey: string | null = '[secret]';"),
+        ('pwd: Optional[str] = "Zx9-Qw3_Rt7!Lp2"', 'pwd: Optional[str] = "[secret]"'),
+        ('var apiKey string = "Zx9-Qw3_Rt7!Lp2"', 'var apiKey string = "[secret]"'),
+        ("KEY: str = 'Zx9-Qw3_Rt7!Lp2'\nclient(api_secret_ref=KEY)", "KEY: str = '[secret]'\nclient(api_secret_ref=KEY)"),
+    ],
+)
+def test_whole_literals_are_redacted(spark, text, left):
+    assert [r.text for r in secrets.redact(spark.createDataFrame([(text,)], "text string")).collect()] == [left]
+    assert [s for s in secrets.find(text) if s[0] == "assign"] == [("assign", *m.span(), m[1], 1.0) for m in secrets._ASSIGN.finditer(text) if len(m[2]) >= 6]
+
+
 def test_license_rules():
     text = "Intro text.\nLicensed under the Apache License, Version 2.0.\nBody.\nReleased under the MIT License.\nAll rights reserved."
     assert [x[0] for x in licenses.match(licenses.sentences(text))] == ["Apache-2.0", "MIT", "Proprietary"]
