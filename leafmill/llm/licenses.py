@@ -5,7 +5,7 @@ the identifier of a known licence sentence, and the sequence of identifiers in a
 against ordered licence rules. Sentences in between that are not known are passed over up to a given gap.
 
 Cases: null and empty texts match nothing; a licence that occurs again is told again; equal rows have equal results;
-a text without a licence word is not cut at all. Positions are code points.
+a text without any of the words that the known sentences need is not cut at all. Positions are code points.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 
 from leafmill.functions.session import arrow_rows
 
-_WORDS = ("licen", "copyright", "rights reserved", "permission", "redistribut", "warrant", "public domain", "spdx", "provided as is", 'provided "as is', "liable")
+#: Parts of normalised texts, of which each pattern below needs one.
+_HINTS = ("licen", "copyright", "©", "rights reserved", "permission", "as is", "liable", "applicable law", "gpl", "in the hope that", "redistribut", "endorse or promote", "creative commons", "cc by", "ccby", "cc0", "public domain", "spdx")
 _SENTENCE = re.compile(r"[^\n]+?(?:[.;:!?]+(?=[\s\"')]|$)|(?=\n)|$)")
 #: Identifiers of known licence sentences, with what their normalised form matches.
 SENTENCES = [
@@ -101,23 +102,27 @@ def normalise(sentence: str) -> str:
     return re.sub(r"\b(?:19|20)\d\d\b", "y", flat)
 
 
+def hinted(flat: str) -> bool:
+    return any(h in flat for h in _HINTS)
+
+
 def identify(sentence: str) -> str | None:
-    flat = normalise(sentence)
-    return next((name for name, pattern in _KNOWN if pattern.fullmatch(flat)), None)
+    return _identify(normalise(sentence))
+
+
+def _identify(flat: str) -> str | None:
+    return next((name for name, pattern in _KNOWN if pattern.fullmatch(flat)), None) if hinted(flat) else None
 
 
 def sentences(text: str) -> list[tuple[int, int, str]]:
     """(start, end, identifier) of the known licence sentences of a text."""
-    low = text.lower()
-    if not any(w in low for w in _WORDS):
+    if not hinted(normalise(text)):
         return []
     out = []
     for m in _SENTENCE.finditer(text):
-        part = m[0].lower()
-        if any(w in part for w in _WORDS) or out and len(part) < 400:
-            name = identify(m[0])
-            if name:
-                out.append((m.start(), m.end(), name))
+        name = identify(m[0])
+        if name:
+            out.append((m.start(), m.end(), name))
     return out
 
 

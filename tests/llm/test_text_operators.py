@@ -165,6 +165,23 @@ def test_license_rules():
     assert licenses.match(licenses.sentences(full))[0][::3] == ("MIT", 3)
 
 
+def names(text):
+    return [x[0] for x in licenses.match(licenses.sentences(text))]
+
+
+def test_licenses_without_the_word():
+    lines = [
+        ("Released under CC BY-SA 4.0.", "CC-BY-SA"),
+        ("Released under Creative Commons Attribution BY 4.0", "CC-BY"),
+        ("Distributed under the GPL v3.", "GPL-3.0"),
+        ("Released under the GNU GPL version 2.", "GPL-2.0"),
+        ("Distributed under the terms of the LGPL", "LGPL"),
+        ("Made available under CC0 1.0", "CC0"),
+    ]
+    for line, want in lines:
+        assert names(line) == [want] and names(f"Some text.\n{line}\nMore text.") == [want]
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var t="</p>";</script></head><body><nav><ul><li><a href="/x">x</a></li></ul></nav>
 <div class="cookie-notice">We use cookies</div><header>Site</header><article><h1>Head &amp; line</h1><p><b>First   part<br><p>Second
 part</p><div class="ad">Buy</div><section><p>Third</p></section></article><div id="comments"><p>I like it very much indeed, thank you for it</p></div>
