@@ -1,6 +1,8 @@
 """License scans by sentence rules.
 
-Texts are cut into sentences. A normalised sentence (lower case, no punctuation, years and holders reduced) is mapped to
+Texts are cut into sentences. A sentence may go on over single line breaks (with comment marks), colons and semicolons,
+up to a full stop or a blank line; the shortest runs of its pieces that are known are taken, so each line also counts
+alone, and then run on to the end of their sentence where that is known as the same. A normalised sentence (lower case, no punctuation, years and holders reduced) is mapped to
 the identifier of a known licence sentence, and the sequence of identifiers in a text is matched, longest rule first,
 against ordered licence rules. Sentences in between that are not known are passed over up to a given gap.
 
@@ -11,6 +13,7 @@ a text without any of the words that the known sentences need is not cut at all.
 from __future__ import annotations
 
 import re
+from re import _parser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -94,6 +97,8 @@ RULES = [
     ("Proprietary", ("all-rights",)),
 ]
 _KNOWN = [(name, re.compile(pattern)) for name, pattern in SENTENCES]
+#: Characters that any known sentence has at most; years of a copyright line are counted as 400 characters.
+_WIDEST = 400 + max(w for w in (_parser.parse(pattern).getwidth()[1] for _, pattern in SENTENCES) if w < 10_000)
 _ORDERED = sorted(RULES, key=lambda r: -len(r[1]))
 
 
@@ -114,16 +119,59 @@ def _identify(flat: str) -> str | None:
     return next((name for name, pattern in _KNOWN if pattern.fullmatch(flat)), None) if hinted(flat) else None
 
 
+def _sentence(pieces: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """(start, end, identifier) of what is known in the pieces (start, end, normalised) of one sentence."""
+    n = len(pieces)
+    if not hinted(" ".join(p[2] for p in pieces)):
+        return []
+    first: list[tuple[int, str] | None] = []  # for each piece the shortest known run from it: its end, its identifier
+    for i in range(n):
+        flat, known = "", None
+        for j in range(i, n):
+            flat = f"{flat} {pieces[j][2]}" if flat else pieces[j][2]
+            if j > i and len(flat) > _WIDEST:
+                break
+            name = _identify(flat)
+            if name:
+                known = (j, name)
+                break
+        first.append(known)
+    out, i = [], 0
+    while i < n:
+        if first[i] is None or any(first[k] and first[k][0] <= first[i][0] and first[k][1] == first[i][1] for k in range(i + 1, first[i][0] + 1)):
+            i += 1
+            continue
+        j, name = first[i]
+        if name != "copyright" and j < n - 1 and not any(first[j + 1 :]) and _identify_run(pieces[i:]) == name:
+            j = n - 1
+        out.append((pieces[i][0], pieces[j][1], name))
+        i = j + 1
+    return out
+
+
+def _identify_run(pieces: list[tuple[int, int, str]]) -> str | None:
+    return _identify(" ".join(p[2] for p in pieces))
+
+
 def sentences(text: str) -> list[tuple[int, int, str]]:
     """(start, end, identifier) of the known licence sentences of a text."""
     if not hinted(normalise(text)):
         return []
-    out = []
+    out: list[tuple[int, int, str]] = []
+    run: list[tuple[int, int, str]] = []
+    line_end = 0
     for m in _SENTENCE.finditer(text):
-        name = identify(m[0])
-        if name:
-            out.append((m.start(), m.end(), name))
-    return out
+        flat = normalise(m[0])
+        if text.count("\n", line_end, m.start()) > 1 or not flat:  # a blank line, or one of comment marks only
+            out += _sentence(run) if run else []
+            run = []
+        line_end = m.end()
+        if flat:
+            run.append((m.start(), m.end(), flat))
+            if m[0][-1] in ".!?":
+                out += _sentence(run)
+                run = []
+    return out + (_sentence(run) if run else [])
 
 
 def match(found: list[tuple[int, int, str]], gap: int = 2000) -> list[tuple[str, int, int, int]]:

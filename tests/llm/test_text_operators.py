@@ -182,6 +182,48 @@ def test_licenses_without_the_word():
         assert names(line) == [want] and names(f"Some text.\n{line}\nMore text.") == [want]
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY. IN NO
+EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY."""
+GPL = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above
+   copyright notice, this list of conditions and the disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the disclaimer."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License."""
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+def test_wrapped_licences(mark):
+    wrapped = lambda t: "\n".join((mark + x).rstrip() for x in t.split("\n"))
+    found = licenses.match(licenses.sentences(wrapped(MIT)))
+    assert [x[::3] for x in found][-1] == ("MIT", 4) and found[-1][2] == len(wrapped(MIT))
+    assert licenses.match(licenses.sentences(wrapped(GPL)))[0][::3] == ("GPL", 2)
+    assert names(wrapped(BSD)) == ["BSD-2-Clause"]
+    assert names("Copyright 2020 X\nAll rights reserved\nReleased under the MIT License\nsome line") == ["Proprietary", "MIT"]
+    assert names(wrapped(APACHE))[0] == "Apache-2.0"
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var t="</p>";</script></head><body><nav><ul><li><a href="/x">x</a></li></ul></nav>
 <div class="cookie-notice">We use cookies</div><header>Site</header><article><h1>Head &amp; line</h1><p><b>First   part<br><p>Second
 part</p><div class="ad">Buy</div><section><p>Third</p></section></article><div id="comments"><p>I like it very much indeed, thank you for it</p></div>
