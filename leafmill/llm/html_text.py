@@ -5,7 +5,8 @@ densities. The node with the largest sum is the core of the article. The smalles
 threshold: nodes that reach it are content too, and so are headings beside content; the article is the smallest subtree that holds all of
 them, or the outermost article element around it. Only block elements are candidates. Elements
 that are boilerplate by their tag, role or class (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-comments of readers) are cut from the tree first and never count.
+comments of readers) are cut from the tree first and never count. A class or id cuts no node that holds the main element or
+the first h1 of the page.
 
 Cases: null or empty html gives an empty text; markup cut off at the end of a page is dropped, text is kept; end tags
 may be missing anywhere; a page without a body is read as one; equal rows give equal texts.
@@ -24,7 +25,8 @@ from leafmill.functions.session import arrow_rows
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)
-    |<(?P<raw>script|style|noscript|template|textarea|title|iframe|xmp|noembed|noframes|svg|math|object)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)
+    |<(?P<raw>script|style|noscript|template|textarea|title|iframe|xmp|noembed|noframes)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)
+    |<(?P<foreign>svg|object)\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+(?<!/)>.*?</(?P=foreign)\s*>
     |<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>
     |<[/!?a-zA-Z][^>]*+(?:>|\Z)""",
     re.S | re.I | re.X,
@@ -48,7 +50,7 @@ ENDS = {
     "option": ({"option"}, {"select"}),
 }
 #: Tags, roles and words of class and id that mark what is not the article.
-CUT_TAGS = frozenset("head nav footer aside form button select menu dialog canvas audio video".split())
+CUT_TAGS = frozenset("head nav footer aside form button select menu dialog canvas audio video annotation annotation-xml".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 CUT_WORDS = re.compile(
     r"""(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|cookies?|consent|gdpr|notice|popup|modal|overlay|
@@ -56,37 +58,63 @@ CUT_WORDS = re.compile(
     recommended|comments?|commentlist|respond|replies|disqus|footer|masthead|site-header|page-header|toolbar|widget|banner|skip-link)(?:$|[\s_-])""",
     re.I | re.X,
 )
+_NOT_CUT = frozenset("has no with without not".split())
+#: What may follow such a word in a class or id; "related-work" is no box of related pages.
+_AFTER = re.compile(
+    r"""(?:[_-]+(?:container|wrap(?:per)?|box(?:es)?|area|block|section|list|bar|inner|outer|top|bottom|left|right|header|footer|title|heading|body|content|
+    posts?|articles?|stories|news|links?|items?|products?|reading|topics|videos?|pages|buttons?|icons?|tools|form|text|message|label|image|slot|unit|panel|
+    module|region|primary|secondary|main|mobile|desktop|small|large|col(?:umn)?|row|group|menu|html|thread|template|policy|bg|close|toggle|\d+))*""",
+    re.I | re.X,
+)
 _ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/>]|$)""", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total", "doubtful")
 
     def __init__(self, tag, parent, cut=False):
         self.tag, self.parent, self.children, self.cut = tag, parent, [], cut
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.doubtful = False
+
+
+def _is_cut_word(value: str) -> bool:
+    """Whether a class or id has a token that ends in a cut word, apart from layout words, and doesn't deny it."""
+    for token in value.split():
+        for m in CUT_WORDS.finditer(token):
+            if not _NOT_CUT & set(re.split(r"[_-]+", token[: m.start()].lower())):
+                word_end = m.end() - (m[0][-1] in "_-")
+                rest = token[word_end:]
+                if _AFTER.fullmatch(rest) or CUT_WORDS.search(rest):
+                    return True
+    return False
 
 
-def _is_cut(tag: str, attrs: str, inside: set[str]) -> bool:
+def _is_cut(tag: str, attrs: str, inside: set[str]) -> tuple[bool, bool]:
+    """Whether a node is cut, and whether it is by its class or id only."""
     if tag in CUT_TAGS or tag == "header" and not inside & {"article", "main"}:
-        return True
+        return True, False
     if not attrs or tag in ("html", "body", "article", "main"):
-        return False
+        return False, False
+    doubtful = False
     for name, value in _ATTR.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id") and CUT_WORDS.search(value) or name == "role" and value.lower() in CUT_ROLES:
-            return True
+        if name == "role" and value.lower() in CUT_ROLES:
+            return True, False
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value):
-            return True
-    return False
+            return True, False
+        doubtful |= name in ("class", "id") and _is_cut_word(value)
+    return False, doubtful
 
 
 def parse(html: str) -> Node:
     root = Node("body", None)
     stack = [root]
     at = 0
+    doubts: list[Node] = []
+    holds: dict[str, Node | None] = {"main": None, "h1": None}
 
     def close(until: int) -> None:
         del stack[until:]
@@ -127,12 +155,24 @@ def parse(html: str) -> Node:
         if tag in ENDS:
             end_open(*ENDS[tag])
         above = stack[-1]
-        node = Node(tag, above, above.cut or _is_cut(tag, m["attrs"], {n.tag for n in stack}))
+        cut, doubtful = (True, False) if above.cut else _is_cut(tag, m["attrs"], {n.tag for n in stack})
+        node = Node(tag, above, cut)
+        node.doubtful = doubtful
+        if doubtful:
+            doubts.append(node)
+        if not cut and tag in holds and holds[tag] is None:
+            holds[tag] = node
         above.children.append(node)
         if tag not in VOID and not m["attrs"].endswith("/") or tag in BLOCK and tag not in VOID:
             stack.append(node)
     if at < len(html):
         say(html[at:])
+    for node in holds.values():  # what holds the main element or the title of the page is no boilerplate by its class
+        while node is not None:
+            node.doubtful = False
+            node = node.parent
+    for node in doubts:
+        node.cut = node.doubtful
     return root
 
 

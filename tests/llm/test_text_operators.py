@@ -242,3 +242,15 @@ def test_html_short_article_keeps_its_heading():
     assert html_text.main_text(page) == "Short head\n\nOnly one paragraph, though a long one, stands here."
     page = '<body><div id="menu"><a href="/">a</a></div><div class="post"><h2>T</h2><div><p>First long paragraph of text, it is.</p><p>Second one.</p></div></div></body>'
     assert html_text.main_text(page) == "T\n\nFirst long paragraph of text, it is.\n\nSecond one."
+
+
+def test_html_keeps_what_foreign_elements_and_layout_classes_enclose():
+    assert html_text.main_text('<p>One <svg class="i"/> two.</p><p>Three.</p>') == "One two.\n\nThree."
+    assert html_text.main_text('<p>One <svg class="i"> two.</p><p>Three.</p>') == "One two.\n\nThree."
+    assert html_text.main_text('<p>One <svg><text>no</text></svg> two.</p><p>Three <object data="x"/>.</p>') == "One two.\n\nThree ."
+    assert html_text.main_text("<p>So <math><mi>a</mi><mo>=</mo><mn>1</mn></math> holds.</p>") == "So a=1 holds."
+    for kind in ("content has-sidebar", "no-sidebar", "with-nav", "page widget"):
+        page = f'<body><nav>m</nav><div class="{kind}"><h1>Title</h1><p>Long first paragraph of text.</p><section id="related-work"><h2>Related work</h2><p>Others did it.</p></section></div></body>'
+        assert html_text.main_text(page) == "Title\n\nLong first paragraph of text.\n\nRelated work\n\nOthers did it."
+    for kind in ("cookie-notice", "td-sidebar", "related-posts", "ad", "comments-area", "site-footer"):
+        assert html_text.main_text(f'<article><h1>Title</h1><p>Some text.</p><div class="{kind}"><p>other things</p></div></article>') == "Title\n\nSome text."
