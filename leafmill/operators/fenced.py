@@ -48,10 +48,10 @@ def fence_lines(md: DataFrame) -> DataFrame:
 
 
 def fence(md: DataFrame) -> DataFrame:
-    """(doc_id, text): texts with their atoms fenced."""
+    """(doc_id, text): texts with their atoms fenced; null texts stay null."""
     rows = fence_lines(md)
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ln", "fenced"))), lambda s: s["fenced"]), "\n")
-    return rows.groupBy("doc_id").agg(text.alias("text"))
+    return rows.groupBy("doc_id").agg(text.alias("text")).union(md.where("text is null").select("doc_id", "text"))
 
 
 def header_sections(md: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ line. All windows are partitioned by doc_id, so one exchange serves them all.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Line patterns, in order of precedence.
@@ -18,14 +18,23 @@ TABLE_ROW = r"^\|"
 LIST_ITEM = r"^(\s*[-*+]|\s*\d+[.)]) "
 
 
+def newlines(text: Column) -> Column:
+    """text with every line break of one or two characters as one \\n; positions of this module refer to such texts."""
+    return F.regexp_replace(text, "\r\n?", "\n")
+
+
 def explode_lines(md: DataFrame) -> DataFrame:
-    """(doc_id, ln, line, char_start, char_end); char_end counts the line's break."""
-    text = F.regexp_replace("text", "\r\n?|[\u000b\u000c\u001c-\u001e\u0085  ]", "\n")
-    lines = md.select("doc_id", F.length(text).alias("total"), F.posexplode(F.split(text, "\n")).alias("ln", "line"))
+    """(doc_id, ln, line, char_start, char_end); char_end counts the line's break, where one follows.
+
+    Positions are code points of newlines(text). The text itself is cut once and not carried on to its lines.
+    """
+    text = F.regexp_replace(newlines(F.col("text")), "[\u000b\u000c\u001c-\u001e\u0085\u2028\u2029]", "\n")
+    lines = md.select("doc_id", F.posexplode(F.split(text, "\n")).alias("ln", "line"))
     order = Window.partitionBy("doc_id").orderBy("ln")
     start = F.coalesce(F.sum(F.length("line") + 1).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int")
-    placed = lines.withColumn("char_start", start)
-    return placed.select("doc_id", "ln", "line", "char_start", F.least(F.col("char_start") + F.length("line") + 1, F.col("total")).alias("char_end"))
+    broken = F.lead("ln").over(order).isNotNull().cast("int")
+    placed = lines.select("*", start.alias("char_start"), broken.alias("broken"))
+    return placed.select("doc_id", "ln", "line", "char_start", (F.col("char_start") + F.length("line") + F.col("broken")).alias("char_end"))
 
 
 def classify(lines: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 """Rewriting of a document's markdown: tables, page marks, images and captions.
 
-All operators take md(doc_id, text) and work on lines or ordinals, so that no offset moves under another edit.
+All operators take md(doc_id, text) and work on lines or ordinals, so that no offset moves under another edit. Texts are
+read with universal newlines: positions count, and results have, one \\n for each line break. A document with a null text
+stays, with a null text; one without anything to insert or drop stays as it is.
 """
 
 from __future__ import annotations
@@ -9,9 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import figure_markdown
-from leafmill.operators.lines import TABLE_ROW, explode_lines
+from leafmill.operators.lines import TABLE_ROW, explode_lines, newlines
 from leafmill.operators.tables import SEPARATOR
 
+#: The image placeholder, page marks and how a figure caption begins.
 PLACEHOLDER = "<!-- image -->"
 PAGE_MARK = r"<!--\s*[Pp]age\s+(\d+)\s*-->|^\*[Pp]age\s+(\d+)\*"
 CAPTION_LINE = r"(?i)^(?:fig(?:ure)?[\s:.]|figure\s*:)"
@@ -42,7 +45,7 @@ def insert_positions(md: DataFrame, wanted: DataFrame) -> DataFrame:
 
     A page that has no mark lies at the end of the document.
     """
-    total = md.select("doc_id", F.length("text").alias("total"))
+    total = md.select("doc_id", F.length(newlines(F.col("text"))).alias("total"))
     order = Window.partitionBy("doc_id").orderBy("pos")
     pages = page_marks(md).join(total, "doc_id").withColumn("stop", F.coalesce(F.lead("pos").over(order), F.col("total")))
     pages = pages.groupBy("doc_id", "page").agg(F.min("pos").alias("pos"), F.min_by("stop", "pos").alias("stop"))
@@ -68,37 +71,31 @@ def inject_images(md: DataFrame, images: DataFrame) -> DataFrame:
     return joined.withColumn("parts", parts).select("doc_id", F.concat(F.array_join(filled, ""), rest).alias("text"))
 
 
+def _spliced(md: DataFrame, pieces: DataFrame) -> DataFrame:
+    """md with each piece (doc_id, start, end, rank, insert) put in place of the characters from start to end."""
+    cuts = F.array_sort(F.collect_list(F.struct("start", "rank", "end", "insert"))).alias("cuts")
+    joined = md.select("doc_id", newlines(F.col("text")).alias("text")).join(pieces.groupBy("doc_id").agg(cuts), "doc_id", "left")
+    after = lambda i: F.coalesce(F.get("cuts", i - 1)["end"], F.lit(0))
+    kept = lambda start, stop: F.col("text").substr(start + 1, stop - start)
+    parts = F.transform("cuts", lambda c, i: F.concat(kept(after(i), c["start"]), c["insert"]))
+    whole = F.concat(F.array_join(parts, ""), kept(after(F.size("cuts")), F.length("text")))
+    return joined.select("doc_id", F.when(F.col("cuts").isNull(), F.col("text")).otherwise(whole).alias("text"))
+
+
 def inject_tables(md: DataFrame, tables: DataFrame) -> DataFrame:
     """md with tables (doc_id, page, top, markdown) put at insert_positions, in order of page and top.
 
     All positions refer to the text before any edit, so tables of one position follow each other.
     """
     placed = tables.join(insert_positions(md, tables), ["doc_id", "page"])
-    pieces = F.array_sort(F.collect_list(F.struct("pos", "page", "top", "markdown")))
-    joined = md.join(placed.groupBy("doc_id").agg(pieces.alias("pieces")), "doc_id", "left")
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(z, p):
-        cut = F.substring(F.col("text"), z["at"] + 1, p["pos"] - z["at"])
-        return F.struct(F.concat(z["out"], cut, F.lit("\n\n"), p["markdown"], F.lit("\n\n")).alias("out"), p["pos"].alias("at"))
-
-    text = F.aggregate("pieces", start, step, lambda z: F.concat(z["out"], F.expr("substring(text, 1)").substr(z["at"] + 1, F.length("text"))))
-    return joined.select("doc_id", F.coalesce(text, F.col("text")).alias("text"))
+    insert = F.concat(F.lit("\n\n"), "markdown", F.lit("\n\n")).alias("insert")
+    return _spliced(md, placed.select("doc_id", F.col("pos").alias("start"), F.col("pos").alias("end"), F.struct("page", "top").alias("rank"), insert))
 
 
 def replace_tables(md: DataFrame, replacements: DataFrame) -> DataFrame:
     """md with its table_no-th table replaced, for replacements (doc_id, table_no, markdown); edits don't move each other."""
     found = markdown_tables(md).join(replacements, ["doc_id", "table_no"])
-    pieces = F.array_sort(F.collect_list(F.struct("start", "end", "markdown")))
-    joined = md.join(found.groupBy("doc_id").agg(pieces.alias("pieces")), "doc_id", "left")
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(z, p):
-        cut = F.substring(F.col("text"), z["at"] + 1, p["start"] - z["at"])
-        return F.struct(F.concat(z["out"], cut, p["markdown"], F.lit("\n")).alias("out"), p["end"].alias("at"))
-
-    text = F.aggregate("pieces", start, step, lambda z: F.concat(z["out"], F.col("text").substr(z["at"] + 1, F.length("text"))))
-    return joined.select("doc_id", F.coalesce(text, F.col("text")).alias("text"))
+    return _spliced(md, found.select("doc_id", "start", "end", F.col("table_no").alias("rank"), F.concat("markdown", F.lit("\n")).alias("insert")))
 
 
 def drop_plain_captions(md: DataFrame) -> DataFrame:
@@ -118,7 +115,7 @@ def drop_plain_captions(md: DataFrame) -> DataFrame:
     gone = words.withColumn("gone", near & F.col("first").rlike(CAPTION_LINE)).where("gone").select("doc_id", "para")
     kept = lines.join(gone, ["doc_id", "para"], "left_anti")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ln", "line"))), lambda s: s["line"]), "\n")
-    return kept.groupBy("doc_id").agg(text.alias("text"))
+    return kept.groupBy("doc_id").agg(text.alias("text")).union(md.where("text is null").select("doc_id", "text"))
 
 
 def drop_repeated_captions(md: DataFrame, images: DataFrame) -> DataFrame:
