@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Fixed value: an image link of markdown.
 IMAGE = r"!\[([^\]]*)\]\(([^)]+)\)"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value evaluated once however often and however deep in lambdas body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Without white space at both ends, Unicode blanks included."""
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
@@ -38,8 +46,7 @@ def is_table_caption(text: Column) -> Column:
 
 def fix_wrapped(text: Column) -> Column:
     """Joins the lines of a cell: glued where a word or an address was broken, else by a blank."""
-    parts = F.split(F.coalesce(text, F.lit("")), "\n")
-    parts = F.transform(parts, lambda p: strip(p))
+    text = F.coalesce(text, F.lit(""))
 
     def join(done, part):
         glue = (
@@ -51,8 +58,9 @@ def fix_wrapped(text: Column) -> Column:
         )
         return F.when(glue, F.concat(done, part)).otherwise(F.concat(done, F.lit(" "), part))
 
-    first = F.get(parts, F.lit(0))
-    return F.trim(F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), first, join))
+    fold = lambda parts: F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), F.get(parts, F.lit(0)), join)
+    folded = let(F.transform(F.split(text, "\n"), lambda p: strip(p)), fold)
+    return F.trim(F.when(text.contains("\n"), folded).otherwise(strip(text)))
 
 
 def clean_cell(text: Column) -> Column:
@@ -61,7 +69,7 @@ def clean_cell(text: Column) -> Column:
 
 def table_row(line: Column) -> Column:
     """Cells of a pipe row: outer bars stripped, cells trimmed, no escapes."""
-    inner = F.regexp_replace(F.trim(line), r"^\|+|\|+$", "")
+    inner = F.regexp_replace(F.trim(line), r"^\|+|\|+$", "")  # cells can be empty, so only the ends lose their bars
     return F.transform(F.split(inner, r"\|"), lambda c: F.trim(c))
 
 
@@ -81,20 +89,43 @@ def upper_median(values: Column) -> Column:
     return F.element_at(F.array_sort(values), (F.floor(F.size(values) / 2) + 1).cast("int"))
 
 
+#: Fixed value: a cell that reads as a number.
+NUMBER = r"^\s*[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?\s*$"
+
+
 def render_table(header: Column, rows: Column) -> Column:
-    """Pipe table, cells left-aligned to the column's width."""
-    everything = F.concat(F.array(header), rows)
-    widths = F.transform(
-        F.sequence(F.lit(0), F.size(header) - 1),
-        lambda i: F.greatest(F.lit(3), F.array_max(F.transform(everything, lambda r: F.coalesce(F.length(F.get(r, i)), F.lit(0))))),
-    )
-
-    def line(cells):
-        padded = F.zip_with(cells, widths, lambda c, w: F.rpad(F.coalesce(c, F.lit("")), w, " "))
-        return F.concat(F.lit("| "), F.array_join(padded, " | "), F.lit(" |"))
-
-    rule = F.concat(F.lit("|"), F.array_join(F.transform(widths, lambda w: F.concat(F.lit(":"), F.repeat(F.lit("-"), w + 1))), "|"), F.lit("|"))
-    return F.concat_ws("\n", line(header), rule, F.array_join(F.transform(rows, line), "\n"))
+    """Pipe table. A column is two characters wider than its name, or as wide as its widest cell.
+
+    Columns of numbers are aligned to the right, at their points; all others, with or without some numbers, to the left.
+    """
+    cell = lambda r, i: F.coalesce(F.get(r, i), F.lit(""))
+    behind = lambda c: F.when(c.contains("."), F.length(F.substring_index(c, ".", -1))).otherwise(-1)
+
+    def shape(i):
+        def of(cells):
+            right = (F.size(cells) > 0) & F.forall(cells, lambda c: c.rlike(NUMBER))
+            places = F.when(right, F.array_max(F.transform(cells, behind))).otherwise(-1)
+            wide = lambda c: F.length(c) + F.when(right, places - behind(c)).otherwise(0)
+            widest = F.coalesce(F.array_max(F.transform(cells, wide)), F.lit(0))
+            return F.struct(F.greatest(F.length(cell(header, i)) + 2, widest).alias("w"), right.alias("right"), places.alias("places"))
+
+        return let(F.transform(rows, lambda r: cell(r, i)), of)
+
+    def drawn(shapes):
+        def line(cells, named=False):
+            def put(s, i):
+                c = cell(cells, i)
+                padded = c if named else F.concat(c, F.repeat(F.lit(" "), s["places"] - behind(c)))
+                return F.when(s["right"], F.lpad(padded, s["w"], " ")).otherwise(F.rpad(c, s["w"], " "))
+
+            return F.concat(F.lit("| "), F.array_join(F.transform(shapes, put), " | "), F.lit(" |"))
+
+        dashes = lambda s: F.repeat(F.lit("-"), s["w"] + 1)
+        rule = F.transform(shapes, lambda s: F.when(s["right"], F.concat(dashes(s), F.lit(":"))).otherwise(F.concat(F.lit(":"), dashes(s))))
+        body = F.transform(rows, lambda r: line(r))
+        return F.array_join(F.concat(F.array(line(header, True), F.concat(F.lit("|"), F.array_join(rule, "|"), F.lit("|"))), body), "\n")
+
+    return let(F.transform(F.sequence(F.lit(0), F.size(header) - 1), shape), drawn)
 
 
 def figure_markdown(path: Column, caption: Column, page: Column) -> Column:

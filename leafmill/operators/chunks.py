@@ -1,56 +1,66 @@
 """Size-bounded chunks of blocks, with heading paths, pages, overlap and caption linking.
 
-Packing depends on what came before in a section, so each document's ordered blocks are folded in one Arrow call. The
-grouping by doc_id reuses the exchange of the block parser.
+Headings and atoms (tables, figures, formulas) bound the runs of prose between them. A run under the limit is one chunk, by
+built-in expressions alone. A longer one is cut into groups where its length reaches the limit; the cuts follow from the
+lengths of its blocks, and only the tail of a piece is carried from one group to the next, in one Arrow call. No step holds
+more than one run of prose.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.functions.text import approx_tokens, is_table_caption
+from leafmill.functions.text import approx_tokens, is_table_caption, page_of
 from leafmill.operators.blocks import with_paths
 from leafmill.operators.config import DEFAULT, Config
 
 _END = re.compile(r"(?<=[.!?])\s+")
-_PAGE = re.compile(r"page(\d+)", re.I)
-_ATOMIC = frozenset(("table", "figure", "formula"))
+ATOMIC = ("table", "figure", "formula")
+
+
+def cut_points(lengths: list[int], limit: int, seams: frozenset[int] = frozenset()) -> list[int]:
+    """Where packs of items of these lengths begin, each pack as long as the limit allows with a blank between items.
+
+    A pack also begins at every seam. An item over the limit is a pack of its own.
+    """
+    reach = [0, *accumulate(n + 1 for n in lengths)]
+    bounds = sorted({0, len(lengths)} | {s for s in seams if s < len(lengths)})
+    cuts = []
+    for first, end in zip(bounds, bounds[1:], strict=False):
+        while first < end:
+            cuts.append(first)
+            first = min(end, max(first + 1, bisect_right(reach, reach[first] + limit + 1) - 1))
+    return cuts
+
+
+def _packed(items: list[str], limit: int, seams: frozenset[int] = frozenset()) -> list[str]:
+    starts = cut_points([len(x.strip()) for x in items], limit, seams)
+    packs = [items[i:j] for i, j in zip(starts, [*starts[1:], len(items)], strict=False)]
+    return [" ".join(p).strip() if len(p) > 1 else p[0] for p in packs]
 
 
 def pack_words(sentence: str, limit: int) -> list[str]:
     """Greedy packs of words, at most limit characters where words allow it."""
-    out, now = [], ""
-    for word in sentence.split():
-        joined = f"{now} {word}" if now else word
-        if len(joined) > limit and now:
-            out.append(now)
-            joined = word
-        now = joined
-    return [*out, now] if now else out
+    return _packed(sentence.split(), limit)
 
 
 def pack_sentences(text: str, limit: int) -> list[str]:
-    """Greedy packs of sentences; a sentence over the limit is packed by words, and its last pack goes on."""
-    out, now = [], ""
+    """Greedy packs of sentences; one over the limit counts as words that begin a pack, and its last pack goes on."""
+    items: list[str] = []
+    seams = set()
     for sentence in _END.split(text):
-        joined = f"{now} {sentence}".strip() if now else sentence
-        if len(joined) <= limit:
-            now = joined
-            continue
-        if now:
-            out.append(now)
         if len(sentence) > limit:
-            *full, now = pack_words(sentence, limit) or [""]
-            out += full
-        else:
-            now = sentence
-    if now:
-        out.append(now)
-    return out or [text]
+            seams.add(len(items))
+            items += sentence.split()
+        elif sentence:
+            items.append(sentence)
+    return _packed(items, limit, frozenset(seams)) or [text]
 
 
 def _pieces(batches, limit):
@@ -79,104 +89,86 @@ def word_pieces(texts: DataFrame, limit: int = DEFAULT.max_chars) -> DataFrame:
     return packed.select("doc_id", F.posexplode("pieces").alias("piece_id", "content"))
 
 
-_CHUNK = (
-    "chunk_index int, content string, page_number int, heading_path array<string>, block_type string, image_refs array<string>, "
-    "has_formula boolean, char_start int, char_end int, token_count int"
-)
-
-
-def _fold(blocks: list[dict], total: int, cfg: Config) -> list[dict]:
-    out: list[dict] = []
-    text, start, refs, path, tail = "", 0, [], [], ""
-
-    def page(images, at):
-        found = next((m for r in images if (m := _PAGE.search(r))), None)
-        return int(found[1]) if found else max(1, at // cfg.chars_per_page + 1)
-
-    def emit(content, kind, images, formula, at, end, headings):
-        out.append(
-            {
-                "chunk_index": len(out),
-                "content": content,
-                "page_number": page(images, at),
-                "heading_path": list(headings),
-                "block_type": kind,
-                "image_refs": list(images),
-                "has_formula": formula,
-                "char_start": at,
-                "char_end": end,
-                "token_count": max(1, len(content) // cfg.chars_per_token),
-            }
-        )
+_ROW = "pos int, piece int, content string, heading_path array<string>, block_type string, image_refs array<string>, has_formula boolean, char_start int, char_end int"
+_ARROW = pa.list_(
+    pa.struct(
+        [("pos", pa.int32()), ("piece", pa.int32()), ("content", pa.string()), ("heading_path", pa.list_(pa.string())), ("block_type", pa.string()),
+         ("image_refs", pa.list_(pa.string())), ("has_formula", pa.bool_()), ("char_start", pa.int32()), ("char_end", pa.int32())]
+    )
+)
+
+
+def _long_run(parts: list[dict], stop: int, cfg: Config) -> list[dict]:
+    """Pieces of a run that is over the limit.
 
-    def flush(end):
-        nonlocal text, refs, tail
-        if not text.strip():
-            return
-        full = f"{tail}\n\n{text}".strip() if tail else text.strip()
-        pieces = pack_sentences(full, cfg.max_chars) if len(full) > cfg.max_chars else [full]
-        for piece in pieces:
-            emit(piece, "paragraph", refs, False, start, end, path)
+    A group ends with the block that brings it to max_chars, two characters between blocks counted; its pieces begin
+    with the tail of the pieces before it.
+    """
+    reach = [0, *accumulate(len(p["content"]) + 2 for p in parts)]
+    cuts = [0]
+    while cuts[-1] < len(parts):
+        cuts.append(min(bisect_left(reach, reach[cuts[-1]] + cfg.max_chars + 2), len(parts)))
+    out, tail = [], ""
+    for i, j in zip(cuts, cuts[1:], strict=False):
+        group = parts[i:j]
+        whole = "\n\n".join([tail, *(p["content"] for p in group)]).strip()
+        pieces = pack_sentences(whole, cfg.max_chars) if len(whole) > cfg.max_chars else [whole]
         tail = pieces[-1][-cfg.overlap_chars :] if cfg.overlap_chars else ""
-        text, refs = "", []
-
-    for b in blocks:
-        kind = b["block_type"]
-        if kind == "heading":
-            flush(b["char_start"])
-            tail = ""
-        elif kind in _ATOMIC:
-            flush(b["char_start"])
-            tail = ""
-            emit(b["content"], kind, b["image_refs"], b["has_formula"], b["char_start"], b["char_end"], b["heading_path"])
-        else:
-            if not text:
-                start, path = b["char_start"], b["heading_path"]
-            text = f"{text}\n\n{b['content']}" if text else b["content"]
-            refs = refs + b["image_refs"]
-            if len(text) >= cfg.max_chars:
-                flush(b["char_end"])
-    flush(total)
+        full = reach[j] - reach[i] - 2 >= cfg.max_chars
+        shared = {"pos": group[0]["block_id"], "block_type": "paragraph", "has_formula": False, "heading_path": group[0]["heading_path"], "image_refs": [r for p in group for r in p["image_refs"]]}
+        shared |= {"char_start": group[0]["char_start"], "char_end": group[-1]["char_end"] if full else stop}
+        out += [shared | {"piece": n, "content": piece} for n, piece in enumerate(pieces)]
     return out
 
 
 def assemble(blocks: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Chunks (doc_id, chunk_index, chunk_id, content, ...) of blocks."""
+    """Chunks (doc_id, chunk_index, chunk_id, content, ...) of blocks.
+
+    chunk_id names the document, the place and the content of a chunk at this step; linking captions keeps it and
+    renumbers chunk_index. Documents without blocks have no chunks.
+    """
     kind = blocks.schema["doc_id"].dataType.simpleString()
-    parts = ("block_id", "block_type", "content", "image_refs", "has_formula", "char_start", "char_end", "heading_path")
-    docs = with_paths(blocks).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(*parts))).alias("blocks"), F.max("total_chars").alias("total"))
+    order = Window.partitionBy("doc_id").orderBy("block_id")
+    hard = F.col("block_type").isin("heading", *ATOMIC)
+    # stop: where the hard block that ends the run begins
+    next_hard = F.first(F.when(hard, F.col("char_start")), ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
+    paths = with_paths(blocks).select("*", F.sum(hard.cast("int")).over(order).alias("run"), F.coalesce(next_hard, F.col("total_chars")).alias("stop"))
+
+    # A run is a hard block, if any, and the prose up to the next one. All runs of a document come from one pass.
+    part = F.struct("block_id", "content", "image_refs", "heading_path", "char_start", "char_end")
+    size = F.sum(F.when(~hard, F.length("content") + 2)) - 2
+    prose = F.array_sort(F.collect_list(F.when(~hard, part)))
+    atom = F.struct("block_id", F.lit(0), "content", "heading_path", "block_type", "image_refs", "has_formula", "char_start", "char_end")
+    runs = paths.groupBy("doc_id", "run").agg(prose.alias("parts"), F.max(F.when(F.col("block_type").isin(*ATOMIC), atom)).alias("atom"), F.max("stop").alias("stop"), size.alias("size"))
+    row = "array<struct<" + _ROW.replace(", ", ",").replace(" ", ":") + ">>"
+    one = F.array(
+        F.struct(
+            F.col("parts")[0]["block_id"], F.lit(0), F.array_join("parts.content", "\n\n"), F.col("parts")[0]["heading_path"], F.lit("paragraph"), F.flatten("parts.image_refs"), F.lit(False),
+            F.col("parts")[0]["char_start"], F.col("stop"),
+        )
+    )
+    none = F.array().cast(row)
+    known = F.concat(F.when(F.col("atom").isNotNull(), F.array("atom").cast(row)).otherwise(none), F.when((F.size("parts") > 0) & (F.col("size") < cfg.max_chars), one.cast(row)).otherwise(none))
+    runs = runs.select("doc_id", known.alias("known"), F.when(F.col("size") >= cfg.max_chars, F.col("parts")).alias("long"), "stop")
 
-    def run(batches):
+    def pack(batches):
         for batch in batches:
-            rows = [_fold(b, t, cfg) for b, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            fields = [pa.field(n, k) for n, k in _ARROW]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.struct(fields)))], ["doc_id", "chunks"])
-
-    folded = docs.mapInArrow(run, f"doc_id {kind}, chunks array<struct<{_struct_ddl()}>>")
-    return folded.select("doc_id", F.explode("chunks").alias("c")).select("doc_id", chunk_id().alias("chunk_id"), "c.*")
-
-
-_ARROW = [
-    ("chunk_index", pa.int32()),
-    ("content", pa.string()),
-    ("page_number", pa.int32()),
-    ("heading_path", pa.list_(pa.string())),
-    ("block_type", pa.string()),
-    ("image_refs", pa.list_(pa.string())),
-    ("has_formula", pa.bool_()),
-    ("char_start", pa.int32()),
-    ("char_end", pa.int32()),
-    ("token_count", pa.int32()),
-]
-
+            packed = [_long_run(p, s, cfg) if p else None for p, s in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, _ARROW)], ["doc_id", "known", "packed"])
 
-def _struct_ddl() -> str:
-    return ",".join(part.replace(" ", ":", 1) for part in _CHUNK.split(", "))
+    packed = runs.mapInArrow(pack, f"doc_id {kind}, known {row}, packed {row}")
+    chunks = packed.select("doc_id", F.explode(F.concat("known", F.coalesce("packed", none))).alias("c")).select("doc_id", "c.*")
+    number = (F.row_number().over(Window.partitionBy("doc_id").orderBy("pos", "piece")) - 1).alias("chunk_index")
+    chunks = chunks.select("*", number)
+    return chunks.select(
+        "doc_id", chunk_id().alias("chunk_id"), "chunk_index", "content", page_of(F.col("image_refs"), F.col("char_start"), cfg.chars_per_page).alias("page_number"), "heading_path", "block_type",
+        "image_refs", "has_formula", "char_start", "char_end", approx_tokens(F.col("content"), cfg.chars_per_token).alias("token_count"),
+    )
 
 
 def chunk_id() -> Column:
     """Deterministic id of a chunk."""
-    return F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.col("c.chunk_index").cast("string"), F.col("c.content")))
+    return F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.col("chunk_index").cast("string"), F.col("content")))
 
 
 def link_captions(chunks: DataFrame, cfg: Config = DEFAULT) -> DataFrame:

@@ -1,9 +1,13 @@
+import itertools
 import random
 import re
+import time
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
-from leafmill.operators import blocks, chunks, fenced
+from leafmill.operators import blocks, chunks, fenced, lines, merge
 from leafmill.operators.config import Config
 
 LINES = [
@@ -12,90 +16,98 @@ LINES = [
 ]
 
 
-def model_blocks(text):
-    """Line by line, as a plain state machine."""
-    out, buf, kind, start, at, image = [], [], "paragraph", 0, 0, False
+KINDS = [
+    ("heading", r"#{1,6}\s+.+$"), ("formula", r"<!--\s*formula-not-decoded\s*-->"), ("figure", r"!\[[^\]]*\]\([^)]+\)"),
+    ("table", r"\|"), ("list", r"(\s*[-*+]|\s*\d+[.)]) "),
+]
+
+
+def islands(text):
+    """[kind, lines, first position, position behind]: neighbouring lines of one kind, single lines of the first three kinds."""
+    lines = text.splitlines(keepends=True)
+    ends = list(itertools.accumulate(map(len, lines)))
+    kinds = [next((k for k, p in KINDS if re.match(p, x)), "paragraph") for x in lines]
+    caption = [i > 0 and kinds[i - 1] == "figure" and kinds[i] in ("list", "paragraph") and bool(re.match(r"\*.+\*$", x.rstrip("\n"))) for i, x in enumerate(lines)]
+    keys = list(itertools.accumulate(
+        not caption[i] and (i == 0 or kinds[i] in ("heading", "formula", "figure") or kinds[i] != kinds[i - 1] or caption[i - 1]) for i in range(len(lines))
+    ))
+    out = []
+    for _, part in itertools.groupby(range(len(lines)), lambda i: keys[i]):
+        part = list(part)
+        out.append([kinds[part[0]], "".join(lines[i] for i in part), ends[part[0]] - len(lines[part[0]]), ends[part[-1]], ends[part[0]]])
+    return out
 
-    def flush(end):
-        body = "".join(buf).strip()
+
+def model_blocks(text):
+    found = islands(text)
+    out = []
+    for before, (kind, body, start, stop, first), after in zip([None, *found], found, [*found[1:], None]):
+        # the line that ends a table or list counts to it, as far as positions go
+        if kind == "paragraph" and before and before[0] in ("table", "list"):
+            start = first
+        if after and (kind in ("table", "list") and after[0] == "paragraph" or (kind, after[0]) == ("table", "list")):
+            stop = after[4]
+        body = body.rstrip("\n") if kind in ("heading", "formula", "figure") else body.strip()
         if body:
-            out.append([kind, body, start, end])
-        buf.clear()
-
-    for line in text.splitlines(keepends=True):
-        begin, at = at, at + len(line)
-        bare = line.rstrip("\n")
-        single = "heading" if re.match(r"#{1,6}\s+.+$", bare) else "formula" if re.match(r"<!--\s*formula-not-decoded\s*-->", bare) else "figure" if re.match(r"!\[[^\]]*\]\([^)]+\)", bare) else None
-        if single:
-            flush(begin)
-            out.append([single, bare, begin, at])
-            image, start, kind = single == "figure", at, "paragraph"
-            continue
-        if image and re.match(r"\*.+\*$", bare):
-            out[-1][1] += "\n" + bare
-            out[-1][3], image, start = at, False, at
-            continue
-        image = False
-        run = "table" if bare.startswith("|") else "list" if re.match(r"(\s*[-*+]|\s*\d+[.)]) ", bare) else "paragraph"
-        if run != "paragraph":
-            if buf and kind == run:
-                buf.append(line)
-                continue
-            was_table = kind == "table" and buf
-            flush(at if was_table else begin)
-            kind, start = run, begin
-        elif kind != "paragraph":
-            if buf:
-                flush(at)
-                start = at
-            kind = "paragraph"
-        buf.append(line)
-    flush(at)
+            out.append([kind, body, start, stop])
     return out
 
 
-def model_chunks(found, total, cfg):
-    out, stack, text, start, path, tail = [], [], "", 0, [], ""
-
-    def put(body, kind, begin, end, headings):
-        out.append((kind, body, begin, end, tuple(headings)))
+def model_packs(text, limit):
+    """By trying: the longest head of what is left that fits, of whole sentences, or of words up to the sentence's end."""
+    units = []  # (string, begins a pack)
+    for sentence in re.split(r"(?<=[.!?])\s+", text):
+        words = sentence.split() if len(sentence) > limit else [sentence] if sentence else []
+        units += [(w, len(sentence) > limit and i == 0) for i, w in enumerate(words)]
+    out = []
+    while units:
+        stops = [n for n in range(1, len(units) + 1) if n == 1 or not any(seam for _, seam in units[1:n]) and len(" ".join(w for w, _ in units[:n]).strip()) <= limit]
+        n = max(stops)
+        out.append(units[0][0] if n == 1 else " ".join(w for w, _ in units[:n]).strip())
+        units = units[n:]
+    return out or [text]
 
-    def flush(end):
-        nonlocal text, tail
-        if text.strip():
-            full = (tail + "\n\n" + text).strip() if tail else text.strip()
-            pieces = chunks.pack_sentences(full, cfg.max_chars) if len(full) > cfg.max_chars else [full]
-            for p in pieces:
-                put(p, "paragraph", start, end, path)
-            tail, text = pieces[-1][-cfg.overlap_chars :], ""
 
-    for kind, body, begin, end in found:
+def model_chunks(found, total, cfg):
+    paths, open_now = [], {}
+    for kind, body, _, _ in found:
         if kind == "heading":
-            flush(begin)
-            level = len(body) - len(body.lstrip("#"))
-            stack = [h for h in stack if h[0] < level] + [(level, body.lstrip("#").strip())]
-            tail = ""
-        elif kind in ("table", "figure", "formula"):
-            flush(begin)
-            tail = ""
-            put(body, kind, begin, end, [h[1] for h in stack])
-        else:
-            if not text:
-                start, path = begin, [h[1] for h in stack]
-            text = text + "\n\n" + body if text else body
-            if len(text) >= cfg.max_chars:
-                flush(end)
-    flush(total)
+            level = len(re.match("#+", body)[0])
+            open_now = {k: v for k, v in open_now.items() if k < level} | {level: body.lstrip("#").strip()}
+        paths.append(tuple(open_now[k] for k in sorted(open_now)))
+    hard = [kind in ("heading", "table", "figure", "formula") for kind, *_ in found]
+    out = []
+    for is_hard, part in itertools.groupby(range(len(found)), lambda i: hard[i]):
+        part = list(part)
+        if is_hard:
+            out += [(found[i][0], found[i][1], found[i][2], found[i][3], paths[i]) for i in part if found[i][0] != "heading"]
+            continue
+        tail = ""
+        stop = found[part[-1] + 1][2] if part[-1] + 1 < len(found) else total
+        while part:
+            n = next((n for n in range(1, len(part) + 1) if len("\n\n".join(found[i][1] for i in part[:n])) >= cfg.max_chars), 0)
+            group, part = (part[:n], part[n:]) if n else (part, [])
+            whole = (tail + "\n\n" + "\n\n".join(found[i][1] for i in group)).strip()
+            pieces = model_packs(whole, cfg.max_chars) if len(whole) > cfg.max_chars else [whole]
+            out += [("paragraph", p, found[group[0]][2], found[group[-1]][3] if n else stop, paths[group[0]]) for p in pieces]
+            tail = pieces[-1][max(0, len(pieces[-1]) - cfg.overlap_chars) :]
     return out
 
 
+@given(st.lists(st.sampled_from(["One.", "Two words!", "a", "longer-word", "Is it?", "x" * 30, "end"]), max_size=25), st.integers(3, 40))
+@settings(max_examples=200, deadline=None)
+def test_packs_are_the_longest_that_fit(parts, limit):
+    text = " ".join(parts)
+    assert chunks.pack_sentences(text, limit) == model_packs(text, limit)
+
+
 @pytest.fixture(scope="module")
 def corpus():
     rng = random.Random(4)
     return [(i, "\n".join(rng.choice(LINES) for _ in range(rng.randint(1, 40))) + rng.choice(["", "\n"])) for i in range(150)]
 
 
-def test_blocks_match_a_state_machine(spark, corpus):
+def test_blocks_match_islands(spark, corpus):
     df = blocks.parse(spark.createDataFrame(corpus, "doc_id long, text string"))
     got = {}
     for r in df.orderBy("doc_id", "block_id").collect():
@@ -104,8 +116,8 @@ def test_blocks_match_a_state_machine(spark, corpus):
         assert got.get(doc, []) == model_blocks(text), text
 
 
-@pytest.mark.parametrize("cfg", [Config(), Config(max_tokens=20, overlap_tokens=5)])
-def test_chunks_match_a_plain_fold(spark, corpus, cfg):
+@pytest.mark.parametrize("cfg", [Config(), Config(max_tokens=20, overlap_tokens=5), Config(max_tokens=9, overlap_tokens=0)])
+def test_chunks_match_sections_packed_by_trying(spark, corpus, cfg):
     df = chunks.assemble(blocks.parse(spark.createDataFrame(corpus, "doc_id long, text string")), cfg)
     got = {}
     for r in df.orderBy("doc_id", "chunk_index").collect():
@@ -168,3 +180,21 @@ def test_empty_inputs(spark):
     assert chunks.assemble(blocks.parse(empty)).collect() == [] and fenced.chunk(empty).collect() == []
     odd = spark.createDataFrame([(1, ""), (2, "\n\n"), (3, "|"), (None, "x")], "doc_id long, text string")
     assert [r.content for r in blocks.parse(odd).orderBy("doc_id").collect()] == ["x", "|"]
+
+
+def test_long_documents_and_line_breaks(spark):
+    """Lines of one document cost in proportion to their number; \\r\\n counts as one character."""
+    text = "\n".join(f"| a | {i} |" if i % 5 == 0 else f"line {i} of text" for i in range(16_000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    blocks.parse(df).count()
+    began = time.time()
+    assert blocks.parse(df).count() == 6400
+    assert time.time() - began < 10
+    windows = spark.createDataFrame([(1, "a\r\n| x |\r\n|---|\r\nend\r\n"), (2, None), (3, "")], "doc_id long, text string")
+    assert [(r.char_start, r.char_end, r.line) for r in lines.explode_lines(windows.where("doc_id = 1")).orderBy("ln").collect()] == [(0, 2, "a"), (2, 8, "| x |"), (8, 14, "|---|"), (14, 18, "end"), (18, 18, "")]
+    swap = spark.createDataFrame([(1, 0, "| y |")], "doc_id long, table_no int, markdown string")
+    assert [r.text for r in merge.replace_tables(windows, swap).orderBy("doc_id").collect()] == ["a\n| y |\nend\n", None, ""]
+    extra = spark.createDataFrame([(1, 1, 0.0, "| z |"), (2, 1, 0.0, "| z |")], "doc_id long, page int, top double, markdown string")
+    assert [r.text for r in merge.inject_tables(windows, extra).orderBy("doc_id").collect()] == ["a\n| x |\n|---|\n\n\n| z |\n\nend\n", None, ""]
+    assert [r.text for r in merge.drop_plain_captions(windows).orderBy("doc_id").collect()] == ["a\n| x |\n|---|\nend\n", None, ""]
+    assert [r.doc_id for r in fenced.fence(windows).orderBy("doc_id").collect()] == [1, 2, 3]

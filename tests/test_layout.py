@@ -34,7 +34,9 @@ def test_scalars(spark):
     assert one(spark, fn.table_row(F.lit(" || a | b |"))) == ["a", "b"]
     assert one(spark, fn.overlap_ratio(F.lit(0.0), F.lit(10.0), F.lit(5.0), F.lit(15.0))) == pytest.approx(1 / 3)
     assert one(spark, fn.figure_markdown(F.lit("p.png"), F.lit("Figure 2. Net"), F.lit(4))) == "![Figure 2](p.png)\n*Figure 2. Net*"
-    assert one(spark, fn.render_table(F.array(F.lit("a"), F.lit("bb")), rows_of(["1", "22222"]))) == "| a   | bb    |\n|:----|:------|\n| 1   | 22222 |"
+    assert one(spark, fn.render_table(F.array(F.lit("a"), F.lit("bb")), rows_of(["1", "22222"]))) == "|   a |    bb |\n|----:|------:|\n|   1 | 22222 |"
+    mixed = fn.render_table(F.array(F.lit("name"), F.lit("error(%)"), F.lit("n")), rows_of(["Maxout[10]", "9.38", ""], ["x", "10", "2"]))
+    assert one(spark, mixed).split("\n") == ["| name       |   error(%) | n   |", "|:-----------|-----------:|:----|", "| Maxout[10] |       9.38 |     |", "| x          |      10    | 2   |"]
 
 
 def test_predicates(spark):
