@@ -61,7 +61,7 @@ def parse(md: DataFrame) -> DataFrame:
 def with_paths(blocks: DataFrame) -> DataFrame:
     """Adds heading_path (array of titles open at each block)."""
     titled = blocks.withColumn("title", F.when(F.col("block_type") == "heading", heading_text(F.col("content"))))
-    return heading_paths(titled, "block_id").drop("title")
+    return heading_paths(titled, "block_id").drop("title", "headings")
 
 
 def type_counts(blocks: DataFrame) -> DataFrame:

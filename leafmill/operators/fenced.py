@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions.text import approx_tokens, heading_text, image_refs, page_of, strip
 from leafmill.operators.config import DEFAULT, Config
-from leafmill.operators.lines import HEADING, classify, explode_lines, heading_paths
+from leafmill.operators.lines import FORMULA, HEADING, classify, explode_lines, heading_paths
 
 #: Sentinels around atoms, and separators in order of preference.
 FENCES = {k: (f"<!-- ATOMIC:{k} -->", f"<!-- /ATOMIC:{k} -->") for k in ("table", "figure", "formula")}
@@ -55,7 +55,7 @@ def fence(md: DataFrame) -> DataFrame:
 
 
 def header_sections(md: DataFrame) -> DataFrame:
-    """(doc_id, section_id, heading_path, content): texts cut before every header; the header stays in its section."""
+    """(doc_id, section_id, headings, content): texts cut before every header; the header stays in its section."""
     lines = explode_lines(md)
     level = F.length(F.nullif(F.regexp_extract("line", HEADING, 1), F.lit("")))
     lines = lines.withColumn("heading_level", level).withColumn("title", F.when(level.isNotNull(), heading_text(F.col("line"))))
@@ -63,9 +63,9 @@ def header_sections(md: DataFrame) -> DataFrame:
     order = Window.partitionBy("doc_id").orderBy("ln")
     lines = lines.withColumn("part", F.sum(F.when(F.col("heading_level").isNotNull(), 1).otherwise(0)).over(order))
     content = strip(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ln", "line"))), lambda s: s["line"]), "\n"))
-    parts = lines.groupBy("doc_id", "part").agg(content.alias("content"), F.max("heading_path").alias("heading_path")).where("content <> ''")
+    parts = lines.groupBy("doc_id", "part").agg(content.alias("content"), F.first("headings").alias("headings")).where("content <> ''")
     n = (F.row_number().over(Window.partitionBy("doc_id").orderBy("part")) - 1).alias("section_id")
-    return parts.select("doc_id", n, "heading_path", "content")
+    return parts.select("doc_id", n, "headings", "content")
 
 
 def split_recursively(text: str, limit: int, overlap: int, separators: list[str] = SEPARATORS) -> list[tuple[str, int]]:
@@ -112,7 +112,7 @@ def split_recursively(text: str, limit: int, overlap: int, separators: list[str]
 
 
 def size_guard(sections: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """(doc_id, section_id, piece_id, heading_path, content, start): sections split to the limit; an atom alone is kept whole."""
+    """(doc_id, section_id, piece_id, headings, content, start): sections split to the limit; an atom alone is kept whole."""
     kind = sections.schema["doc_id"].dataType.simpleString()
     limit, overlap = cfg.max_chars, cfg.overlap_chars
     piece = pa.struct([("content", pa.string()), ("start", pa.int32())])
@@ -124,12 +124,12 @@ def size_guard(sections: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
         for batch in batches:
             cut = [[(t, 0)] if len(t) <= limit or whole(t) else split_recursively(t, limit, overlap) for t in batch.column(3).to_pylist()]
             rows = [[{"content": c, "start": s} for c, s in x] for x in cut]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(rows, pa.list_(piece))], ["doc_id", "section_id", "heading_path", "pieces"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(rows, pa.list_(piece))], ["doc_id", "section_id", "headings", "pieces"])
 
-    split = sections.select("doc_id", "section_id", "heading_path", "content").mapInArrow(
-        run, f"doc_id {kind}, section_id int, heading_path array<string>, pieces array<struct<content:string,start:int>>"
+    split = sections.select("doc_id", "section_id", "headings", "content").mapInArrow(
+        run, f"doc_id {kind}, section_id int, headings array<string>, pieces array<struct<content:string,start:int>>"
     )
-    return split.select("doc_id", "section_id", "heading_path", F.posexplode("pieces").alias("piece_id", "p")).select("doc_id", "section_id", "piece_id", "heading_path", "p.content", "p.start")
+    return split.select("doc_id", "section_id", "headings", F.posexplode("pieces").alias("piece_id", "p")).select("doc_id", "section_id", "piece_id", "headings", "p.content", "p.start")
 
 
 def block_type(content: Column) -> Column:
@@ -147,7 +147,7 @@ def strip_fences(content: Column) -> Column:
 
 
 def enrich(pieces: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Chunks of pieces: type, plain content, images, page, breadcrumb, tokens."""
+    """Chunks of pieces: type, plain content, images, page, headings, formulas, tokens."""
     plain = pieces.withColumn("block_type", block_type(F.col("content"))).withColumn("content", strip_fences(F.col("content"))).where("content <> ''")
     refs = image_refs(F.col("content"))
     order = Window.partitionBy("doc_id").orderBy("section_id", "piece_id")
@@ -156,8 +156,10 @@ def enrich(pieces: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
         (F.row_number().over(order) - 1).alias("chunk_index"),
         "content",
         "block_type",
-        F.array_join("heading_path", " > ").alias("breadcrumb"),
-        F.array_join(refs, ", ").alias("image_refs"),
+        "headings",
+        F.filter("headings", lambda t: t.isNotNull()).alias("heading_path"),
+        refs.alias("image_refs"),
+        F.col("content").rlike(FORMULA).alias("has_formula"),
         page_of(refs, F.col("start"), cfg.chars_per_page).alias("page_number"),
         F.col("start").alias("char_start"),
         (F.col("start") + F.length("content")).alias("char_end"),
@@ -168,3 +170,10 @@ def enrich(pieces: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 def chunk(md: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """The whole path: fence, cut at headers, split, enrich."""
     return enrich(size_guard(header_sections(fence(md)), cfg), cfg)
+
+
+def store_metadata(chunks: DataFrame, source_file: Column) -> DataFrame:
+    """Chunks of enrich() with what vector stores take, strings and numbers only: source_file, header_1 to header_6, breadcrumb, image_list."""
+    header = [F.get("headings", F.lit(k)).alias(f"header_{k + 1}") for k in range(6)]
+    lists = [F.array_join("heading_path", " > ").alias("breadcrumb"), F.array_join("image_refs", ", ").alias("image_list")]
+    return chunks.select(*[c for c in chunks.columns if c not in ("headings", "heading_path", "image_refs")], source_file.alias("source_file"), *header, *lists)

@@ -9,24 +9,28 @@ from leafmill.functions.text import figure_markdown
 from leafmill.operators.config import DEFAULT, Config
 from leafmill.operators.geometry import PAGE
 
-#: How captions begin, and what makes such a line a cross-reference.
-CAPTION_START = r"(?i)^fig(?:ure)?\.?\s*\d+\s*[.:|]?"
-CAPTION_INSIDE = r"(?i)(fig(?:ure)?\.?\s*\d+\s*[.:].*)$"
-REFERENCE = r"(?i)^fig(?:ure)?\.?\s*\d+\s*[,)]|^fig(?:ure)?\.?\s*\d+\s+(?:shows?|illustrates?|depicts?|presents?|and|in|of|we|is|are|demonstrates?|compares?|displays?|plots?)\b"
+#: How a caption line begins, where one may begin inside a line, and what follows the number in a mere
+#: reference, at the start of a line and inside one.
+CAPTION_START = r"^(?:figure|fig\.?)\s*\d+[.:\-\s]"
+CAPTION_INSIDE = r"(?:figure|fig\.?)\s*\d+[.:\-]"
+REFERENCE_WORDS = "first second third show middle left right top bottom above below also see similar here note both".split()
+REFERENCE_INSIDE = [*REFERENCE_WORDS, "this", r"the\s"]
 PREFIX = r"(?i)^(?:fig(?:ure)?|table|chart|plot|image|photo)"
 
 
 def find_captions(lines: DataFrame) -> DataFrame:
     """(doc_id, page, line_id, top, bottom, x0, text): caption lines of (doc_id, page, line_id, top, bottom, x0, text).
 
-    A line that begins as a caption and is no cross-reference, else the rest of a line from a caption inside it; one for
+    A line that begins as a caption and does not go on as a reference, else the rest of a line from the first place that
+    reads as one, if more than 20 characters follow there that begin neither as a reference nor with a bracket. One for
     each whole point of top, the first line wins.
     """
-    text = F.col("text")
-    starts = text.rlike(CAPTION_START)
-    inside = F.regexp_extract(text, CAPTION_INSIDE, 1)
-    usable = (F.length(F.regexp_replace(inside, r"(?i)^fig(?:ure)?\.?\s*\d+\s*[.:]\s*", "")) > 20) & ~inside.rlike(REFERENCE)
-    found = lines.withColumn("text", F.when(starts & ~text.rlike(REFERENCE), text).when(~starts & usable, inside)).where("text is not null")
+    text = F.trim("text")
+    starts = text.rlike(f"(?i){CAPTION_START}") & ~text.rlike(rf"(?i){CAPTION_START}(?:\(|{'|'.join(REFERENCE_WORDS)})")
+    inside = F.regexp_extract(text, f"(?i){CAPTION_INSIDE}.*", 0)
+    rest = F.trim(F.regexp_replace(inside, f"(?i)^{CAPTION_INSIDE}", ""))
+    usable = (inside != "") & (F.length(rest) > 20) & ~rest.rlike(rf"(?i)^(?:\(|{'|'.join(REFERENCE_INSIDE)})")
+    found = lines.withColumn("text", F.when(starts, text).when(usable, inside)).where("text is not null")
     first = F.row_number().over(Window.partitionBy(*PAGE, F.col("top").cast("int")).orderBy("line_id"))
     return found.withColumn("_n", first).where("_n = 1").drop("_n")
 

@@ -58,8 +58,9 @@ def classify(lines: DataFrame) -> DataFrame:
 
 
 def heading_paths(items: DataFrame, order_col: str, level: str = "heading_level", title: str = "title") -> DataFrame:
-    """Adds heading_path (array): the titles of the open headings at each row; rows with null level are no headings.
+    """Adds headings (the open title of each of the six levels, or null) and heading_path (those that are open) to each row.
 
+    Rows with null level are no headings.
     A heading of level L is open if it came after the last headings of all smaller levels.
     """
     upto = Window.partitionBy("doc_id").orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -72,5 +73,5 @@ def heading_paths(items: DataFrame, order_col: str, level: str = "heading_level"
         for c in later:
             cond = cond & c
         open_now.append(F.when(cond, F.col(f"_h{k}.title")))
-    path = F.filter(F.array(*open_now), lambda t: t.isNotNull())
-    return named.withColumn("heading_path", path).drop(*[f"_h{k}" for k in range(1, 7)])
+    named = named.withColumn("headings", F.array(*open_now)).drop(*[f"_h{k}" for k in range(1, 7)])
+    return named.withColumn("heading_path", F.filter("headings", lambda t: t.isNotNull()))

@@ -188,10 +188,10 @@ def chunk_fenced(md: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
         "chunk_index",
         "content",
         "page_number",
-        F.split("breadcrumb", " > ").alias("heading_path"),
+        "heading_path",
         "block_type",
-        F.split("image_refs", ", ").alias("image_refs"),
-        F.lit(False).alias("has_formula"),
+        "image_refs",
+        "has_formula",
         "char_start",
         "char_end",
         "token_count",

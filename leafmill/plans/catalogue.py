@@ -285,7 +285,8 @@ def block_type_detect(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def recursive_split(spark: SparkSession, sf: str) -> DataFrame:
-    return fenced.chunk(fixtures.markdown(spark, sf), Config(max_tokens=100, overlap_tokens=10))
+    found = fenced.chunk(fixtures.markdown(spark, sf), Config(max_tokens=100, overlap_tokens=10))
+    return fenced.store_metadata(found, F.concat(F.lit("doc"), F.col("doc_id").cast("string")))
 
 
 # ---- geometry

@@ -6,6 +6,7 @@ import time
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from leafmill.operators import blocks, chunks, fenced, lines, merge
 from leafmill.operators.config import Config
@@ -172,7 +173,17 @@ def test_fenced_chunks_keep_tables_whole(spark):
     text = "# H\n\nintro words\n\n| a |\n|---|\n" + "| row |\n" * 40 + "\n![f](images/page3_x.png)\n\n*Figure 1. c*\nend"
     rows = fenced.chunk(spark.createDataFrame([(1, text)], "doc_id long, text string"), Config(max_tokens=30, overlap_tokens=0)).orderBy("chunk_index").collect()
     assert any(r.block_type == "figure" and r.page_number == 3 and "Figure 1. c" in r.content for r in rows)
-    assert all(r.breadcrumb == "H" for r in rows) and not any("ATOMIC" in r.content for r in rows if r.block_type == "figure")
+    assert all(r.heading_path == ["H"] for r in rows) and not any("ATOMIC" in r.content for r in rows if r.block_type == "figure")
+
+
+def test_store_metadata(spark):
+    text = "# A > B\n\n<!-- formula-not-decoded -->\n\n### C, d\n\nsee ![x](images/page4_a.png) and ![y](b, c.png)"
+    found = fenced.chunk(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    rows = fenced.store_metadata(found, F.lit("f.md")).orderBy("chunk_index").collect()
+    assert [(r.source_file, r.header_1, r.header_2, r.header_3, r.breadcrumb) for r in rows] == [("f.md", "A > B", None, None, "A > B"), ("f.md", "A > B", None, "C, d", "A > B > C, d")]
+    assert rows[1].image_list == "images/page4_a.png, b, c.png" and rows[1].page_number == 4
+    only = fenced.chunk(spark.createDataFrame([(1, "<!-- formula-not-decoded -->"), (2, "x\n<!-- formula-not-decoded -->")], "doc_id long, text string"))
+    assert [r.has_formula for r in only.orderBy("doc_id").collect()] == [True, False]
 
 
 def test_empty_inputs(spark):

@@ -119,6 +119,18 @@ def test_figures(spark):
     assert one(spark, figures.crop_box(F.lit(0.0), F.lit(0.1), F.lit(700.0), F.lit(701.0), F.lit(612.0), F.lit(792.0))) is None
 
 
+def test_caption_lines(spark):
+    lines_ = {
+        "Figure 1. A net": "Figure 1. A net", "Fig.3: loss": "Fig.3: loss", "Figure 2 and the rest": "Figure 2 and the rest", "FIGURE 5 - plot": "FIGURE 5 - plot", "Fig 2 A": "Fig 2 A",
+        "Figure 4 top panel": None, "Figure 2 first": None, "Figure 3 (left) is": None, "Figure 12abc": None, "Figure 7": None, "Figure 2 shows it": None,
+        "left column text Figure 6. A long enough description of it": "Figure 6. A long enough description of it", "as in Fig. 4. right": None,
+        "see Figure 8. The description is long but a reference": None, "see Figure 8: (as described before, and at length)": None, "see Figure 9: this shows a great many things at once": None,
+    }
+    rows = [("d", 1, i, 20.0 * i, 20.0 * i + 9, 50.0, t) for i, t in enumerate(lines_)]
+    df = spark.createDataFrame(rows, "doc_id string, page int, line_id int, top double, bottom double, x0 double, text string")
+    assert {r.line_id: r.text for r in figures.find_captions(df).collect()} == {i: t for i, t in enumerate(lines_.values()) if t}
+
+
 def test_rewriting(spark):
     md = spark.createDataFrame([(1, "a\n\nFigure 1: plain\n\n<!-- image -->\n\nb\n\n<!-- image -->\n\n| x |\n|---|\n| 1 |\nend")], "doc_id int, text string")
     assert merge.drop_plain_captions(md).first().text == "a\n\n\n<!-- image -->\n\nb\n\n<!-- image -->\n\n| x |\n|---|\n| 1 |\nend".replace("a\n\n\n", "a\n\n\n")
