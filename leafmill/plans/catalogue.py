@@ -419,12 +419,12 @@ def cross_page_figures(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""with {_GRAPHICS}, ras as (select page, text as caption from cap where cap_id % 3 = 0)
+    f"""with {_GRAPHICS}, ras as (select page, case when cap_id % 3 = 0 then text else 'x' end as caption from cap)
 select page, cap_id, text from cap where not exists (select 1 from ras where ras.page = cap.page and substr(ras.caption, 1, 30) = substr(cap.text, 1, 30))"""
 )
 def raster_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     captions = fixtures.captions(spark, sf)
-    rasters = captions.where("cap_id % 3 = 0").select("doc_id", "page", F.col("text").alias("caption"))
+    rasters = captions.select("doc_id", "page", F.when(F.col("cap_id") % 3 == 0, F.col("text")).otherwise("x").alias("caption"))
     return figures.without_raster(captions, rasters).select("page", "cap_id", "text")
 
 
@@ -437,8 +437,8 @@ def build_img_md(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("page", "obj_id", "img_no", "markdown")
 
 
-_BOX = """a as (select (l_orderkey % 50)::int as page, l_orderkey * 10 + l_linenumber as id, l_quantity * 12.0::double as top, l_quantity * 12.0::double + 20 + 10 * l_linenumber as bottom from lineitem where l_orderkey <= 1500),
-b as (select (o_orderkey % 50)::int as page, o_orderkey as id, (o_orderkey % 50) * 12.0::double as top, (o_orderkey % 50) * 12.0::double + 20 + 10 * (o_custkey % 7) as bottom from orders where o_orderkey <= 1500)"""
+_BOX = """a as (select (l_orderkey // 60)::int as page, l_orderkey * 10 + l_linenumber as id, l_quantity * 12.0::double as top, l_quantity * 12.0::double + 20 + 10 * l_linenumber as bottom from lineitem),
+b as (select (o_orderkey // 60)::int as page, o_orderkey as id, (o_orderkey % 50) * 12.0::double as top, (o_orderkey % 50) * 12.0::double + 20 + 10 * (o_custkey % 7) as bottom from orders)"""
 
 
 @query(
@@ -451,10 +451,10 @@ def bbox_match(spark: SparkSession, sf: str) -> DataFrame:
     return tables.match(left, right).select("page", "id", "match_id", "ratio")
 
 
-@query(f"with {_BOX} select a.page, a.id from a where not exists (select 1 from b where a.page = b.page and least(a.bottom, b.bottom) - greatest(a.top, b.top) > 2 and b.id % 5 = 0)")
+@query(f"with {_BOX} select a.page, a.id from a where not exists (select 1 from b where a.page = b.page and least(a.bottom, b.top + 5) - greatest(a.top, b.top) > 2)")
 def zone_anti_join(spark: SparkSession, sf: str) -> DataFrame:
     left, right = fixtures.boxes(spark, sf)
-    return geometry.outside_zones(left, right.where("id % 5 = 0")).select("page", "id")
+    return geometry.outside_zones(left, right.withColumn("bottom", F.col("top") + 5)).select("page", "id")
 
 
 # ---- tables
@@ -550,11 +550,14 @@ def md_table_render(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def cross_page_merge(spark: SparkSession, sf: str) -> DataFrame:
-    grids = materialize(_grids(spark, sf), "grids").withColumn("top", F.lit(120.0)).withColumn("bottom", F.lit(500.0)).where("block_id = 0")
+    """All blocks of all pages, whether they look like tables or not, joined over page breaks."""
+    placed = materialize(_placed(spark, sf), "placed")
+    spans = placed.groupBy("doc_id", "page", "block_id").agg(F.min("top").alias("top"), F.max("bottom").alias("bottom"))
+    edges = geometry.column_boundaries(placed)
+    grids = materialize(geometry.merge_split_columns(geometry.grids(geometry.assign_columns(placed, edges), edges)).join(spans, ["doc_id", "page", "block_id"]), "grids")
     header, data = tables.grid_to_table(F.col("grid"), F.size("edges"))
-    rest = tables.is_page_top_rest(F.slice("grid", 1, 3), F.col("top"), F.col("page"))
-    parts = grids.select(F.lit("part").alias("doc_id"), "page", "top", "bottom", header.alias("header"), data.alias("data"), "grid", rest.alias("is_cont"))
-    merged = tables.merge_pages(parts)
+    rest = tables.is_page_top_rest(F.col("grid"), F.col("top"), F.col("page")) | ((F.col("page") % 2 == 0) & (F.col("block_id") == 0))
+    merged = tables.merge_pages(grids.select("doc_id", "page", "top", "bottom", header.alias("header"), data.alias("data"), "grid", rest.alias("is_cont")))
     return merged.select("table_id", "page", F.size("data").alias("n_rows"), _joined("header", "|"))
 
 
@@ -661,7 +664,7 @@ def html_markdown(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def borderless_pipeline(spark: SparkSession, sf: str) -> DataFrame:
-    zones = fixtures.words(spark, sf).where("page % 5 = 0").select("doc_id", "page", F.lit(90.0).alias("top"), F.lit(160.0).alias("bottom")).distinct()
+    zones = fixtures.words(spark, sf).select("doc_id", "page", F.lit(90.0).alias("top"), F.lit(160.0).alias("bottom")).distinct()
     found = pipelines.borderless_tables(fixtures.words(spark, sf), zones)
     return found.select("table_id", "page", "top", "bottom", _joined("header", "|"), F.size("data").alias("n_rows"), "markdown")
 
@@ -673,8 +676,7 @@ def _page_dims(spark: SparkSession, sf: str) -> DataFrame:
 
 def _rasters(spark: SparkSession, sf: str) -> DataFrame:
     rect = F.array(F.struct(F.col("x0"), F.col("top").alias("y0"), F.col("x1"), F.col("bottom").alias("y1")))
-    g = fixtures.graphics(spark, sf).where("obj_id % 4 = 0")
-    return g.select("doc_id", "page", F.col("obj_id").alias("xref"), F.col("obj_id").alias("ord"), rect.alias("rects"), F.lit("png").alias("ext"), (F.col("obj_id") % 150).cast("int").alias("width"), F.lit(90).alias("height"), F.lit(True).alias("has_bytes"))
+    return fixtures.graphics(spark, sf).select("doc_id", "page", F.col("obj_id").alias("xref"), F.col("obj_id").alias("ord"), rect.alias("rects"), F.lit("png").alias("ext"), (F.col("obj_id") % 150).cast("int").alias("width"), F.lit(90).alias("height"), F.lit(True).alias("has_bytes"))
 
 
 def _raster_figures(spark: SparkSession, sf: str) -> DataFrame:
@@ -682,7 +684,7 @@ def _raster_figures(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""with {_GRAPHICS}, r as (select *, row_number() over (partition by page order by obj_id) as no from g where obj_id % 4 = 0 and obj_id % 150 >= 60),
+    f"""with {_GRAPHICS}, r as (select *, row_number() over (partition by page order by obj_id) as no from g where obj_id % 150 >= 60),
 p as (select r.page, r.obj_id, cap.text, row_number() over (partition by r.page, r.obj_id order by cap.top - r.bottom, cap_id) as n from r join cap on r.page = cap.page and cap.top - r.bottom >= -2 and cap.top - r.bottom <= 35 and least(r.x1, cap.x1) - greatest(r.x0, cap.x0) >= 10)
 select r.page, r.top, r.bottom, coalesce(p.text, '') as caption, 'images/page' || r.page || '_img' || no || '.png' as path, (r.obj_id % 150)::int as width, 90 as height from r left join p on r.page = p.page and r.obj_id = p.obj_id and p.n = 1"""
 )

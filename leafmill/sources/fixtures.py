@@ -33,8 +33,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """md(doc_id, source_file, text): each document's lines turned into markdown."""
-    line = _LINE.replace("case cast", "case cast")
-    text = F.expr(f"array_join(transform(split(text, '\\n'), (raw, ln) -> {line}), '\\n')")
+    text = F.expr(f"array_join(transform(split(text, '\\n'), (raw, ln) -> {_LINE}), '\\n')")
     docs = read(spark, sf_dir, "documents").where("text is not null")
     return docs.select("doc_id", F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("source_file"), text.alias("text"))
 
@@ -87,9 +86,9 @@ def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Two sets of vertical intervals (doc_id, page, id, top, bottom)."""
-    left = read(spark, sf_dir, "lineitem").where("l_orderkey <= 1500")
-    left = left.selectExpr("'boxes' as doc_id", "cast(l_orderkey % 50 as int) as page", "l_orderkey * 10 + l_linenumber as id", "l_quantity * 12.0D as top", "l_quantity * 12.0D + 20 + 10 * l_linenumber as bottom")
-    right = read(spark, sf_dir, "orders").where("o_orderkey <= 1500")
-    right = right.selectExpr("'boxes' as doc_id", "cast(o_orderkey % 50 as int) as page", "o_orderkey as id", "(o_orderkey % 50) * 12.0D as top", "(o_orderkey % 50) * 12.0D + 20 + 10 * (o_custkey % 7) as bottom")
+    """Two sets of vertical intervals (doc_id, page, id, top, bottom); a page holds what 60 order keys have."""
+    left = read(spark, sf_dir, "lineitem")
+    left = left.selectExpr("'boxes' as doc_id", "cast(floor(l_orderkey / 60) as int) as page", "l_orderkey * 10 + l_linenumber as id", "l_quantity * 12.0D as top", "l_quantity * 12.0D + 20 + 10 * l_linenumber as bottom")
+    right = read(spark, sf_dir, "orders")
+    right = right.selectExpr("'boxes' as doc_id", "cast(floor(o_orderkey / 60) as int) as page", "o_orderkey as id", "(o_orderkey % 50) * 12.0D as top", "(o_orderkey % 50) * 12.0D + 20 + 10 * (o_custkey % 7) as bottom")
     return left, right
