@@ -1,15 +1,19 @@
 """Main text of web pages by composite text density.
 
-Every DOM node gets a link-adjusted density of characters per tag; a node's density sum adds up its children's
-densities. The node with the largest sum is the core of the article. The smallest density on its path to the body is the
-threshold: nodes that reach it are content too, and so are headings beside content; the article is the smallest subtree that holds all of
-them, or the outermost article element around it. Only block elements are candidates. Elements
-that are boilerplate by their tag, role or class (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-comments of readers) are cut from the tree first and never count. A class or id cuts no node that holds the main element or
-the first h1 of the page.
+Every DOM node gets a link-adjusted density of characters per tag; a block's density sum adds up the densities of the
+blocks directly below it and of its own text. The block with the largest sum is the core of the article. The smallest
+density on its path to the body is the threshold: siblings on that path that reach it and weigh enough beside the core,
+and text elements next to it, belong to the article too, with everything between them; the rest of the page does not.
+An article or main element around the core is taken whole.
+
+Marks of boilerplate (tags, roles, words in class and id) are a prior: they divide a node's density by five, so that the
+core is rarely found there, and what is marked inside the article is left out if its density so divided stays under the
+article's own. An article or main element has five times the density. Marks that tell the kind of an element for certain (menus, forms, footers, asides, hidden elements) are
+left out of the article at any density. A class or id marks no node that holds the main element or the first h1 of the page.
 
 Cases: null or empty html gives an empty text; markup cut off at the end of a page is dropped, text is kept; end tags
-may be missing anywhere; a page without a body is read as one; equal rows give equal texts.
+may be missing anywhere; a page without a body is read as one; equal rows give equal texts. Time is linear in the length
+of a page, also for deep trees and for end tags that close nothing; a page is read whole, one at a time.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,7 +55,7 @@ ENDS = {
     "option": ({"option"}, {"select"}),
 }
 #: Tags, roles and words of class and id that mark what is not the article.
-CUT_TAGS = frozenset("head nav footer aside form button select menu dialog canvas audio video annotation annotation-xml".split())
+CUT_TAGS = frozenset("nav footer aside form button select menu dialog canvas audio video annotation annotation-xml".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 CUT_WORDS = re.compile(
     r"""(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|cookies?|consent|gdpr|notice|popup|modal|overlay|
@@ -66,18 +71,21 @@ _AFTER = re.compile(
     module|region|primary|secondary|main|mobile|desktop|small|large|col(?:umn)?|row|group|menu|html|thread|template|policy|bg|close|toggle|\d+))*""",
     re.I | re.X,
 )
-_ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/>]|$)""", re.I)
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+#: Parameters: how far a mark lowers a density, and what share of the core's density sum a sibling needs.
+DAMPING, BESIDE = 0.2, 0.2
+_FLOW = HEADINGS | frozenset("p ul ol dl pre blockquote table figure center".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total", "doubtful")
+    __slots__ = ("tag", "parent", "children", "cut", "certain", "doubtful", "chars", "tags", "link_chars", "link_tags", "own", "own_links", "inline", "weight", "density", "total")
 
-    def __init__(self, tag, parent, cut=False):
-        self.tag, self.parent, self.children, self.cut = tag, parent, [], cut
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
-        self.density = self.total = 0.0
-        self.doubtful = False
+    def __init__(self, tag, parent):
+        self.tag, self.parent, self.children = tag, parent, []
+        self.cut = self.certain = self.doubtful = False
+        self.chars = self.tags = self.link_chars = self.link_tags = self.own = self.own_links = self.inline = 0
+        self.weight, self.density, self.total = 1.0, 0.0, 0.0
 
 
 def _is_cut_word(value: str) -> bool:
@@ -92,34 +100,35 @@ def _is_cut_word(value: str) -> bool:
     return False
 
 
-def _is_cut(tag: str, attrs: str, inside: set[str]) -> tuple[bool, bool]:
-    """Whether a node is cut, and whether it is by its class or id only."""
-    if tag in CUT_TAGS or tag == "header" and not inside & {"article", "main"}:
-        return True, False
-    if not attrs or tag in ("html", "body", "article", "main"):
-        return False, False
-    doubtful = False
-    for name, value in _ATTR.findall(attrs):
-        name, value = name.lower(), value.strip("\"'")
-        if name == "role" and value.lower() in CUT_ROLES:
-            return True, False
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value):
-            return True, False
-        doubtful |= name in ("class", "id") and _is_cut_word(value)
-    return False, doubtful
+def _mark(node: Node, attrs: str, in_article: bool) -> None:
+    """Marks a node by its tag and attributes."""
+    node.certain = node.tag in CUT_TAGS or node.tag == "header" and not in_article
+    if not attrs or node.tag in ("html", "body"):
+        return
+    for m in _ATTR.finditer(attrs):
+        name, value = m[1].lower(), (m[2] or "").strip("\"'")
+        if name == "hidden" and value.lower() != "until-found" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value):
+            node.cut = True
+        elif node.tag not in ("article", "main"):
+            node.certain |= name == "role" and value.lower() in CUT_ROLES
+            node.doubtful |= name in ("class", "id") and node.tag not in HEADINGS and _is_cut_word(value)
 
 
 def parse(html: str) -> Node:
     root = Node("body", None)
     stack = [root]
+    open_tags: Counter = Counter()
     at = 0
-    doubts: list[Node] = []
     holds: dict[str, Node | None] = {"main": None, "h1": None}
 
     def close(until: int) -> None:
+        for node in stack[until:]:
+            open_tags[node.tag] -= 1
         del stack[until:]
 
     def end_open(tags, stops) -> None:
+        if not any(open_tags[t] for t in tags):
+            return None
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in tags:
                 return close(i)
@@ -127,7 +136,7 @@ def parse(html: str) -> Node:
                 return None
 
     def say(text: str) -> None:
-        if text and not stack[-1].cut:
+        if text:
             stack[-1].children.append(entities.unescape(text) if "&" in text else text)
 
     for m in _TOKEN.finditer(html):
@@ -138,11 +147,13 @@ def parse(html: str) -> Node:
         if not tag:
             continue
         tag = tag.lower()
-        if not m["end"] and len(stack) > 1 and stack[1].tag == "head" and (tag == "body" or tag in BLOCK):
+        if not m["end"] and open_tags["head"] and len(stack) > 1 and stack[1].tag == "head" and (tag == "body" or tag in BLOCK):
             close(1)  # a head that was not closed
         if tag in ("html", "body"):
             continue
         if m["end"]:
+            if not open_tags[tag]:
+                continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
                     close(i)
@@ -154,59 +165,72 @@ def parse(html: str) -> Node:
             end_open({"p"}, BLOCK - {"p"})
         if tag in ENDS:
             end_open(*ENDS[tag])
-        above = stack[-1]
-        cut, doubtful = (True, False) if above.cut else _is_cut(tag, m["attrs"], {n.tag for n in stack})
-        node = Node(tag, above, cut)
-        node.doubtful = doubtful
-        if doubtful:
-            doubts.append(node)
-        if not cut and tag in holds and holds[tag] is None:
+        node = Node(tag, stack[-1])
+        _mark(node, m["attrs"], bool(open_tags["article"] or open_tags["main"]))
+        if tag in holds and holds[tag] is None:
             holds[tag] = node
-        above.children.append(node)
+        stack[-1].children.append(node)
         if tag not in VOID and not m["attrs"].endswith("/") or tag in BLOCK and tag not in VOID:
             stack.append(node)
+            open_tags[tag] += 1
     if at < len(html):
         say(html[at:])
     for node in holds.values():  # what holds the main element or the title of the page is no boilerplate by its class
         while node is not None:
             node.doubtful = False
             node = node.parent
-    for node in doubts:
-        node.cut = node.doubtful
     return root
 
 
 def _walk(root: Node) -> list[Node]:
-    """Nodes that are not cut, parents first."""
+    """Nodes that are shown, parents first."""
     found = [root]
     for node in found:
-        found += [c for c in node.children if isinstance(c, Node) and not c.cut]
+        found += [c for c in node.children if isinstance(c, Node) and not c.cut and c.tag != "head"]
     return found
 
 
-def article(root: Node) -> Node:
-    """The subtree that holds the main text."""
-    nodes = _walk(root)
+def _measure(nodes: list[Node]) -> None:
+    """Densities and density sums of all nodes; nodes come parents first."""
+    for node in nodes[1:]:
+        node.weight = node.parent.weight * (DAMPING if node.certain or node.doubtful else 1.0)
+        if node.tag in ("article", "main") and node.weight <= 1.0:  # the outermost one
+            node.weight /= DAMPING
     for node in reversed(nodes):
-        for child in node.children:
-            if isinstance(child, str):
-                node.chars += len("".join(child.split()))
-            elif not child.cut:
-                node.chars += child.chars
-                node.tags += child.tags + 1
-                link = child.tag == "a"
-                node.link_chars += child.chars if link else child.link_chars
-                node.link_tags += child.link_tags + link
+        direct = sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        node.chars += direct
+        node.own += direct
+        above = node.parent
+        if above is None:
+            continue
+        link = node.tag == "a"
+        above.chars += node.chars
+        above.tags += node.tags + 1
+        above.link_chars += node.chars if link else node.link_chars
+        above.link_tags += node.link_tags + link
+        if node.tag not in BLOCK:  # the text of an inline element is its block's own
+            above.own += node.own
+            above.own_links += node.own if link else node.own_links
+            above.inline += node.inline + 1
+    root = nodes[0]
     share = root.link_chars / max(1, root.chars)
     for node in nodes:
         c, t, lc, lt = node.chars, max(1, node.tags), node.link_chars, max(1, node.link_tags)
         if c:
-            node.density = c / t
+            node.density = node.weight * c / t
             base = math.log(c / max(1, c - lc) * lc + share * c + math.e)
             if base > 1.0001:  # 1: no links in the page, nothing to adjust
                 node.density *= math.log(max(1.0, c / max(1, lc) * t / lt)) / math.log(base)
-        if node.parent is not None and node.tag in BLOCK:
-            node.parent.total += node.density
+    for node in reversed(nodes):
+        node.total += node.weight * max(0, node.own - node.own_links) / (node.inline + 1)
+        if node.parent is not None:
+            node.parent.total += node.density if node.tag in BLOCK else node.total - node.weight * max(0, node.own - node.own_links) / (node.inline + 1)
+
+
+def article(root: Node) -> Node:
+    """The subtree that holds the main text; what is left out of it is cut."""
+    nodes = _walk(root)
+    _measure(nodes)
     if not root.chars:
         return root
     core = max((n for n in nodes if n.tag in BLOCK), key=lambda n: n.total)
@@ -214,20 +238,36 @@ def article(root: Node) -> Node:
     while path[-1].parent is not None:
         path.append(path[-1].parent)
     threshold = min(n.density for n in path)
-    content = [n for n in nodes if n.chars and n.density >= threshold and n.tag in BLOCK and not n.link_chars > 0.5 * n.chars]
-    depth = {id(n): i for i, n in enumerate(path)}
-    reach = 0
-    for node in content:
-        if id(node) in depth:
-            continue
-        while id(node) not in depth:
-            node = node.parent
-        reach = max(reach, depth[id(node)])
-    for i, node in enumerate(path):
-        headed = node.parent is not None and any(isinstance(c, Node) and c.tag in HEADINGS and not c.cut for c in node.children)
-        if node.tag == "article" or headed:
-            reach = max(reach, i)
-    return path[reach]
+    whole = max((i for i, n in enumerate(path) if n.tag in ("article", "main")), default=0)
+
+    def beside(node: Node) -> bool:
+        """Whether a sibling of the path is a part of the article."""
+        return node.tag in BLOCK and not (node.cut or node.certain or node.doubtful) and node.density >= threshold and 2 * node.link_chars <= node.chars and node.total >= BESIDE * core.total
+
+    def flows(node: Node | str) -> bool:
+        """Whether a neighbour is a text element of the article."""
+        if isinstance(node, str):
+            return not node.strip()
+        headed = node.tag in HEADINGS and node.chars
+        return node.tag in _FLOW and not (node.cut or node.certain or node.doubtful) and 2 * node.link_chars <= node.chars and bool(headed or node.density >= threshold)
+
+    top = path[whole]
+    for node, above in zip(path[whole:], path[whole + 1 :], strict=False):
+        rest = above.children
+        at = next(i for i, c in enumerate(rest) if c is node)
+        parts = [i for i, c in enumerate(rest) if i != at and isinstance(c, Node) and beside(c)]
+        first, last = min([at, *parts]), max([at, *parts])
+        while first > 0 and flows(rest[first - 1]):
+            first -= 1
+        while last + 1 < len(rest) and flows(rest[last + 1]):
+            last += 1
+        if any(isinstance(c, Node) for c in rest[first:at] + rest[at + 1 : last + 1]):
+            top = above
+        above.children = rest[first : last + 1]  # outside of the article, also where a node further up is taken
+    level = top.density / top.weight
+    for node in _walk(top)[1:]:
+        node.cut |= node.certain or node.doubtful and node.density / top.weight < level
+    return top
 
 
 def blocks(node: Node) -> list[str]:
@@ -248,7 +288,7 @@ def blocks(node: Node) -> list[str]:
             flush()
         elif isinstance(x, str):
             run.append(x)
-        elif not x.cut:
+        elif not x.cut and x.tag != "head":
             if x.tag in BLOCK:
                 flush()
                 todo.append(None)
