@@ -109,8 +109,8 @@ class Order:
         return np.sort(keys)
 
 
-def heavy_grams(texts: DataFrame, n: int, limit: int) -> np.ndarray:
-    """Grams of many documents, lightest first, at most limit.
+def heavy_grams(texts: DataFrame, n: int, limit: int, least_seen: int = 4) -> np.ndarray:
+    """Grams of least_seen documents or more, lightest first, at most limit.
 
     Each task counts the grams that repeat within its chunks of documents and tells at most limit of them; sums are
     taken over all tasks. A histogram by powers of 2 ** (1/8) gives the count from which at most limit grams are left.
@@ -155,7 +155,7 @@ def heavy_grams(texts: DataFrame, n: int, limit: int) -> np.ndarray:
         least, total = level, total + many
     if least is None:
         return np.zeros(0, np.uint64)
-    rows = seen.where(F.col("level") >= least).select("gram", "seen").toPandas().sort_values(["seen", "gram"])
+    rows = seen.where((F.col("level") >= least) & (F.col("seen") >= least_seen)).select("gram", "seen").toPandas().sort_values(["seen", "gram"])
     drop_scratch(texts.sparkSession, seen)
     return rows["gram"].to_numpy(np.int64).view(np.uint64)
 

@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from leafmill.llm import decontaminate, substrings
@@ -72,12 +74,103 @@ def test_near_passages_find_planted_ones_only(spark, passage_corpus):
         assert want <= seen
 
 
-def test_long_runs_are_cut(spark, passage_corpus, monkeypatch):
-    df = spark.createDataFrame(passage_corpus, "doc_id long, text string")
-    ids = lambda rows: {r.doc_id for r in rows} | {r.other_id for r in rows}
-    whole = ids(substrings.near_passages(df).collect())
-    monkeypatch.setattr(substrings, "_LIMIT", 3)
-    assert ids(substrings.near_passages(df).collect()) == whole
+def shared_line_corpus(seed, line=40, many=160, holders=40):
+    """Pairs of texts that share 60 words of which `line` stand in all texts."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    text = lambda k: [rng.choice(vocabulary) for _ in range(k)]
+    common, rows, truth = text(line), [], set()
+    for _ in range(holders):
+        before = rng.randint(0, 60 - line)
+        passage = text(before) + common + text(60 - line - before)
+        truth.add((len(rows), len(rows) + 1))
+        rows += [(len(rows) + i, " ".join(text(rng.randint(0, 150)) + passage + text(rng.randint(0, 150)))) for i in range(2)]
+    rows += [(len(rows) + i, " ".join(text(60) + common + text(60))) for i in range(many - len(rows))]
+    return rows, truth
+
+
+@pytest.mark.parametrize("heavy", [512, 20])
+def test_passages_around_a_common_line_match_brute_force(spark, heavy):
+    rows, truth = shared_line_corpus(3)
+    words = {i: t.split() for i, t in rows}
+    runs = {i: {tuple(w[k : k + 50]) for k in range(len(w) - 49)} for i, w in words.items()}
+    want = {(i, j) for i in runs for j in runs if i < j and runs[i] & runs[j]}
+    assert want == truth
+    got = substrings.near_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), heavy_count=heavy).collect()
+    assert {(min(r.doc_id, r.other_id), max(r.doc_id, r.other_id)) for r in got} == want
+    for r in got:
+        x, y = words[r.doc_id][r.start : r.end], words[r.other_id][r.other_start : r.other_end]
+        gx, gy = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (x, y))
+        assert len(x) >= 50 and r.jaccard == pytest.approx(len(gx & gy) / len(gx | gy)) and r.jaccard >= 0.8
+
+
+def test_near_passages_are_found(spark):
+    """Passages of 100 words with up to four words changed, inserted or left out: likeness of 5-grams 0.8 or a little more."""
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    text = lambda k: [rng.choice(vocabulary) for _ in range(k)]
+    rows, want = [], set()
+    for _ in range(100):
+        passage = text(100)
+        other = list(passage)
+        at = rng.randrange(10, 90)
+        other[at : at + rng.choice([0, 1])] = text(rng.choice([1, 1, 2]))
+        want.add((len(rows), len(rows) + 1))
+        rows += [(len(rows), " ".join(text(rng.randint(0, 90)) + passage + text(rng.randint(0, 90)))), (len(rows) + 1, " ".join(text(rng.randint(0, 90)) + other))]
+    got = substrings.near_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    found = {(min(r.doc_id, r.other_id), max(r.doc_id, r.other_id)) for r in got}
+    assert len(found & want) >= 99 and found <= want
+
+
+def test_all_places_and_runs_are_told():
+    rng = np.random.default_rng(4)
+    new = lambda n: rng.integers(0, 2**32, n, dtype=np.uint32)
+    one, two = new(50), new(47)
+    assert substrings.passages(one, np.concatenate([one[:10], new(30), one]), 46, 0.8) == [(0, 50, 40, 90, 1.0)]
+    split = np.concatenate([one, new(6), two])
+    assert [x[:2] for x in substrings.passages(split, np.concatenate([two, new(90), one]), 46, 0.8)] == [(0, 50), (56, 103)]
+    twice = substrings.passages(one, np.concatenate([one, new(70), one]), 46, 0.8)
+    assert [x[2:4] for x in twice] == [(0, 50), (120, 170)]
+    assert substrings.passages(np.concatenate([one, two]), np.concatenate([two, new(60), one]), 46, 0.8) == [(0, 50, 107, 157, 1.0), (50, 97, 0, 47, 1.0)]
+
+
+def test_equal_hashes_make_few_windows():
+    found = substrings.compact_windows(np.zeros(80_000, np.int64), 46)
+    assert len(found) < 80_000 / 20
+    assert substrings.segments(np.array([True, True, False, True, False, False, False, True]), -1.5) == [(0, 2), (3, 4), (7, 8)]
+    assert substrings.segments(np.array([True] * 5 + [False] + [True] * 4), -1.5) == [(0, 10)]
+
+
+def test_groups_over_the_limit_go_on(monkeypatch):
+    """Parts of a group are linked with each other, whatever the limit."""
+    rng = np.random.default_rng(2)
+    n = 500
+    text = rng.permutation(n).astype(np.int64)
+    context = np.sort(rng.integers(1, 5, n)).astype(np.int64) << 48
+    key = np.full(n, 7, np.int64)
+    zero = np.zeros(n, np.int32)
+    arrays = [pa.array(c) for c in (key, text, zero, zero + 20, zero + 60, context, context)]
+    names = ["key", "text", "lo", "mid", "hi", "right", "left"]
+    batches = [pa.RecordBatch.from_arrays([x.slice(i, 64) for x in arrays], names) for i in range(0, n, 64)]
+    for limit in (50, 200_000):
+        monkeypatch.setattr(substrings, "_LIMIT", limit)
+        out = pa.Table.from_batches(list(substrings._meet(iter(batches)))).to_pandas()
+        assert sorted(out[out.kind == 1].a) == sorted(text)
+        links = {(a, b) for a, b in zip(out[out.kind == 0].a, out[out.kind == 0].b, strict=True)}
+        assert all((min(x, y), max(x, y)) in links for x, y in zip(text, text[1:], strict=False))
+    left = pa.Table.from_batches(list(substrings._left(iter(batches)))).to_pandas()
+    assert all((min(x, y), max(x, y)) in set(zip(left.a, left.b, strict=True)) for x, y in zip(text, text[1:], strict=False))
+
+
+def test_near_passages_odd_rows(spark):
+    rng = random.Random(12)
+    body = " ".join(f"w{rng.randrange(3000)}" for _ in range(80))
+    rows = [(1, body, "a"), (1, body, "b"), (None, body, "c"), (2, "word " * 3000, "d"), (3, "word " * 2000 + body, "e"), (4, None, "f"), (5, "", "g"), (6, body[:40], "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, start string").withColumn("a", F.lit("clash"))
+    got = [tuple(r) for r in substrings.near_passages(df).collect()]
+    links = {(r[0], r[3]) for r in got}
+    assert (None, 1) in links and ((1, 3) in links or (3, 1) in links)
+    assert {x for pair in links for x in pair} == {None, 1, 2, 3}  # 2 and 3 share the repeated word
 
 
 def test_empty_tables(spark):
