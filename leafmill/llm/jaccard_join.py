@@ -20,6 +20,7 @@ a text with fewer than n words has one gram, the whole sequence; a null id is ca
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,24 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mixed(total + np.uint64(size))
 
 
+def unique(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; by sorting, which beats hashing on sets of this size."""
+    x = np.sort(x)
+    return x[np.append([True], x[1:] != x[:-1])] if len(x) else x
+
+
+def batch_grams(texts: list[str | None], n: int, cache: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(n-gram hashes of all texts one after the other, number of them in each text); texts of fewer than n words have none."""
+    words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
+    counts = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    whole = np.fromiter(map(cache.__getitem__, chain.from_iterable(words)), dtype=np.uint64, count=int(counts.sum()))
+    if len(whole) < n:
+        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+    grams = gram_hashes(whole, n)
+    inside = np.arange(len(grams)) + n <= np.repeat(np.cumsum(counts), counts)[: len(grams)]
+    return grams[inside], np.maximum(counts - n + 1, 0)
+
+
 def gram_set(text: str | None, n: int, cache: dict) -> np.ndarray:
     return np.unique(gram_hashes(word_hashes(text, cache), n))
 
@@ -110,9 +129,9 @@ class Order:
 
 
 def heavy_grams(texts: DataFrame, n: int, limit: int, least_seen: int = 4) -> np.ndarray:
-    """Grams of least_seen documents or more, lightest first, at most limit.
+    """Grams seen least_seen times or more, lightest first, at most limit.
 
-    Each task counts the grams that repeat within its chunks of documents and tells at most limit of them; sums are
+    Each task counts the grams that repeat within its chunks of documents, every place of a text, and tells at most limit of them; sums are
     taken over all tasks. A histogram by powers of 2 ** (1/8) gives the count from which at most limit grams are left.
     """
 
@@ -134,10 +153,8 @@ def heavy_grams(texts: DataFrame, n: int, limit: int, least_seen: int = 4) -> np
             parts, held = [], 0
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found = gram_set(text, n, cache)
-                parts.append(found)
-                held += len(found)
+            parts.append(batch_grams(batch.column(0).to_pylist(), n, cache)[0])
+            held += len(parts[-1])
             if held > 1_500_000:
                 fold()
         fold()

@@ -15,12 +15,13 @@ from leafmill.llm import decontaminate, substrings
 @settings(max_examples=150, deadline=None)
 def test_compact_windows_cover_every_run_once(values, least):
     values = np.array(values)
-    found = substrings.compact_windows(values, least)
+    found = list(zip(*(c.tolist() for c in substrings.compact_windows(values, [0], [len(values)], least)), strict=True))
     for lo in range(len(values) - least + 1):
         for hi in range(lo + least, len(values) + 1):
             hits = [(a, c, b) for a, c, b in found if a <= lo <= c < hi <= b]
             assert len(hits) == 1 and values[hits[0][1]] == values[lo:hi].min()
-    assert len(found) <= max(1, 2 * len(values) // least + 1)
+    both = substrings.compact_windows(np.concatenate([values, values]), [0, len(values)], [len(values), 2 * len(values)], least)
+    assert sorted(zip(*(c.tolist() for c in both), strict=True)) == sorted([w for w in found] + [tuple(x + len(values) for x in w) for w in found])
 
 
 def test_passages_find_the_shared_run():
@@ -135,8 +136,8 @@ def test_all_places_and_runs_are_told():
 
 
 def test_equal_hashes_make_few_windows():
-    found = substrings.compact_windows(np.zeros(80_000, np.int64), 46)
-    assert len(found) < 80_000 / 20
+    found = substrings.compact_windows(np.zeros(80_000, np.int64), [0], [80_000], 46)
+    assert len(found[0]) < 80_000 / 20
     assert substrings.segments(np.array([True, True, False, True, False, False, False, True]), -1.5) == [(0, 2), (3, 4), (7, 8)]
     assert substrings.segments(np.array([True] * 5 + [False] + [True] * 4), -1.5) == [(0, 10)]
 
