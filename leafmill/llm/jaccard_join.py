@@ -77,6 +77,19 @@ def unique(x: np.ndarray) -> np.ndarray:
     return x[np.append([True], x[1:] != x[:-1])] if len(x) else x
 
 
+def portions(texts: list, most: int = 1_000_000):
+    """texts in runs of up to `most` characters, single longer ones alone."""
+    held, size = [], 0
+    for text in texts:
+        if held and size + len(text or "") > most:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text or "")
+    if held:
+        yield held
+
+
 def batch_grams(texts: list[str | None], n: int, cache: dict) -> tuple[np.ndarray, np.ndarray]:
     """(n-gram hashes of all texts one after the other, number of them in each text); texts of fewer than n words have none."""
     words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
@@ -153,10 +166,11 @@ def heavy_grams(texts: DataFrame, n: int, limit: int, least_seen: int = 4) -> np
             parts, held = [], 0
 
         for batch in batches:
-            parts.append(batch_grams(batch.column(0).to_pylist(), n, cache)[0])
-            held += len(parts[-1])
-            if held > 1_500_000:
-                fold()
+            for texts in portions(batch.column(0).to_pylist()):
+                parts.append(batch_grams(texts, n, cache)[0])
+                held += len(parts[-1])
+                if held > 1_000_000:
+                    fold()
         fold()
         keep = np.flatnonzero(counts > 3)
         keep = keep[np.argsort(-counts[keep], kind="stable")[:limit]]
