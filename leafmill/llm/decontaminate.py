@@ -36,7 +36,7 @@ _SPACE = r"[\s\p{Z}]+"
 _GAP = r"[^\p{L}" + NUMBER + "-" + NAME + "]+"
 #: Kinds of windows.
 TEMPLATE, FOLDED, WORDS = 0, 1, 2
-#: Windows whose hashes are broadcast at a time (8 bytes each).
+#: Hashes of windows that are broadcast at most (8 bytes each).
 BLOCK = 1_000_000
 
 
@@ -140,31 +140,38 @@ def leaks(
             cut = cut.union(both.withColumn("kind", F.lit(WORDS)))
     cut = materialize(cut, "item-windows")
     kinds = sorted((r["length"], r["by"]) for r in cut.select("length", "by").distinct().collect())  # at most 3 times `window` values
-    hashes = cut.select("length", "hash").distinct()
+    hashes = cut.select("hash").distinct()
     many = hashes.count()
-    blocks = -(-many // BLOCK)
 
     docs = docs.where("doc_id is not null")
     tokens = _all_tokens(docs, "doc_id")
     used = sorted({by for _, by in kinds})
     tokens = tokens.select("doc_id", *(_marks(F.col(f"t{by}")).alias(f"m{by}") for by in used))
-    found = None
-    for length in sorted({n for n, _ in kinds}):
-        shown = F.concat(*(_windows(F.col(f"m{by}"), length, by) for n, by in kinds if n == length))
-        shown = tokens.select("doc_id", F.explode(shown).alias("w")).select("doc_id", "w.dpos", "w.hash")
-        for block in range(blocks):  # each block of hashes is small enough to broadcast
-            part = hashes.where((F.col("length") == length) & (F.pmod(F.col("hash"), F.lit(blocks)) == block)).select("hash")
-            hit = shown.join(F.broadcast(part), "hash", "left_semi").select(F.lit(length).alias("length"), "doc_id", "dpos", "hash")
-            found = hit if found is None else found.union(hit)
-    if found is None:
-        found = tokens.select(F.lit(0).alias("length"), "doc_id", F.lit(0).alias("dpos"), F.lit(0).cast("long").alias("hash")).where("false")
-    found = materialize(found, "window-hits")
-
-    # Documents with enough different windows of an item; then their alignments.
+    # One pass over the documents for windows of all lengths. Hashes of many windows are joined by a shuffle, which
+    # Spark cuts down by a bloom filter of the hashes where it pays.
+    none = F.array().cast("array<struct<dpos:int,hash:bigint>>")
+    shown = F.concat(none, *(_windows(F.col(f"m{by}"), n, by) for n, by in kinds))
+    shown = tokens.select("doc_id", F.explode(shown).alias("w")).select("doc_id", "w.dpos", "w.hash")
+    found = materialize(shown.join(F.broadcast(hashes) if many <= BLOCK else hashes, "hash", "left_semi"), "window-hits")
+
+    # Documents with enough different windows of an item; then their alignments. A document that leaks an item has one of
+    # the item's rarest windows, more of them than it may lack, or the rarest of each stretch that a long run must hold
+    # whole; so windows that very many documents and items have meet only where one of these does too.
     pair = ["doc_id", "item_id", "kind"]
     totals = cut.groupBy("item_id", "kind").agg(F.count("*").alias("n_windows"))
-    met = found.join(cut, ["length", "hash"]).select(*pair, "ipos", (F.col("dpos") - F.col("ipos")).alias("shift"), "length")
-    met = met.distinct()
+    seen = found.groupBy("hash").agg(F.count("*").alias("seen"))
+    rare = cut.join(seen, "hash").join(totals, ["item_id", "kind"])
+    stretch = max(1, (run - window + 1) // 2)
+    by_rank = Window.partitionBy("item_id", "kind").orderBy("seen", "hash", "ipos")
+    by_stretch = Window.partitionBy("item_id", "kind", F.floor(F.col("ipos") / stretch)).orderBy("seen", "hash", "ipos")
+    # Windows that no document has are the rarest: all of them that are lacking count as lacking.
+    lacking = F.col("n_windows") - F.count("*").over(Window.partitionBy("item_id", "kind"))
+    may_lack = F.floor((1 - coverage) * F.col("n_windows") + 1e-9) - lacking
+    rare = rare.select("item_id", "kind", "hash", (F.row_number().over(by_rank) <= may_lack + 1).alias("probe"), (F.row_number().over(by_stretch) == 1).alias("milestone"))
+    rare = rare.where("probe or milestone").select("item_id", "kind", "hash").distinct()
+    candidates = materialize(found.select("doc_id", "hash").distinct().join(rare, "hash").select(*pair).distinct(), "leak-pairs")
+    met = candidates.join(cut.select("item_id", "kind", "hash", "ipos", "length"), ["item_id", "kind"]).join(found, ["doc_id", "hash"])
+    met = met.select(*pair, "ipos", (F.col("dpos") - F.col("ipos")).alias("shift"), "length").distinct()
     enough = met.groupBy(*pair).agg(F.countDistinct("ipos").alias("matched")).join(totals, ["item_id", "kind"])
     least = F.least(coverage * F.col("n_windows"), F.lit(run / window))
     enough = materialize(enough.where(F.col("matched") >= least).select(*pair), "leak-candidates")

@@ -4,8 +4,9 @@ Each source gets a target in words. It first gives as many complete epochs of it
 rest is filled in the order of exponential keys, -ln(u) / weight, by prefix sums up to the rest of the target, and the
 document at the boundary gives its leading words. u is a hash of the id, so reruns agree.
 
-Prefix sums never run over a whole source in one task: keys fall into bins, sums of the bins are accumulated for each
-source (at most `bins` narrow rows), and within a bin the rows of one (source, bin) are accumulated.
+Prefix sums never run over a whole source in one task: keys fall into bins, as many as keep a bin near `bin_rows` rows
+if one source has them all; sums of the bins are accumulated for each source (narrow rows), and within a bin the rows of
+one (source, bin) are accumulated. Targets are found by rounds of sums over all sources, also when every host is one.
 
 Cases: null text has size 0; a null source is a source of its own, last; a null weight or one under 0.05 counts as
 0.05; rows of size 0 take 0 words; an empty table gives an empty result; equal rows are told apart by nothing and share
@@ -14,6 +15,8 @@ one key, so which of them stands at the boundary does not matter.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +44,7 @@ def mix(
     source_col: str = "source",
     quality: Column | None = None,
     seed: str = "mix",
-    bins: int = 4096,
+    bin_rows: int = 10_000,
 ) -> DataFrame:
     """(doc_id, source, size, weight, source_size, target, taken, epochs) of every row of df.
 
@@ -58,9 +61,10 @@ def mix(
     digits = F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))), 1, 13)
     uniform = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(16**13)
     keyed = docs.withColumn("key", -F.log(uniform) / F.col("weight"))
-    keyed = keyed.withColumn("bin", F.floor(F.col("key") / (F.col("key") + 1) * bins).cast("int"))
     keyed = keyed.withColumn("src", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("t")))  # "t": null, after all others
     keyed = materialize(keyed, "mix-keys")
+    bins = max(1, keyed.count() // bin_rows) * 4
+    keyed = keyed.withColumn("bin", F.floor(F.col("key") / (F.col("key") + 1) * bins).cast("long"))
 
     by_bin = keyed.groupBy("src", "bin").agg(F.sum("size").alias("bin_size"))
     sources = targets(by_bin.groupBy("src").agg(F.sum("bin_size").alias("source_size")), weights, max_epochs)
@@ -76,24 +80,32 @@ def mix(
     )
 
 
+def _numbered(sources: DataFrame) -> DataFrame:
+    """sources with place: the number of sources before each one by src. Dealt by ranges, counted by range, then in it."""
+    dealt = materialize(sources.repartitionByRange("src").sortWithinPartitions("src").withColumn("part", F.spark_partition_id()), "mix-sources")
+    sizes = sorted((r["part"], r["n"]) for r in dealt.groupBy("part").agg(F.count("*").alias("n")).collect())  # one row for each partition
+    before = list(zip((p for p, _ in sizes), accumulate((n for _, n in sizes), initial=0), strict=False))
+    offsets = dealt.sparkSession.createDataFrame(before, "part int, before long")
+    within = F.row_number().over(Window.partitionBy("part").orderBy("src")) - 1
+    return dealt.withColumn("place", within).join(F.broadcast(offsets), "part").withColumn("place", F.col("place") + F.col("before")).drop("part", "before")
+
+
 def targets(sources: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataFrame:
     """Adds `target` to (src, source_size).
 
-    Sources in order of cap over weight: those before the first whose share, among it and all later ones, fits under
-    its cap are capped. The windows here run over one narrow row for each source.
+    A source whose share by weight is over its cap gets the cap, and the others share what is left; repeated until no
+    share is over its cap. Each round is one sum over all sources.
     """
     cycle = F.array(*[F.lit(w) for w in weights])
-    place = F.row_number().over(Window.orderBy("src"))
-    ranked = sources.withColumn("w", F.element_at(cycle, ((place - 1) % len(weights) + 1).cast("int")))
-    ranked = ranked.withColumn("cap", F.lit(max_epochs) * F.col("source_size"))
-    order = Window.orderBy(F.col("cap") / F.col("w"), "src")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    onward = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    everything = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = ranked.withColumn("total", F.sum("source_size").over(everything))
-    left = F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0))
-    ranked = ranked.withColumn("level", left.cast("double") / F.sum("w").over(onward))
-    fits = F.when(F.col("level") * F.col("w") <= F.col("cap"), F.col("level"))
-    ranked = ranked.withColumn("level", F.first(fits, ignorenulls=True).over(everything))
-    share = F.col("level") * F.col("w")
+    ranked = _numbered(sources).withColumn("w", F.element_at(cycle, (F.col("place") % len(weights) + 1).cast("int")))
+    ranked = materialize(ranked.select("src", "source_size", "w", (F.lit(max_epochs) * F.col("source_size")).alias("cap")), "mix-ranked")
+    total = ranked.agg(F.sum("source_size")).first()[0] or 0
+    level, before = None, None
+    while True:
+        over = F.lit(False) if level is None else F.lit(level) * F.col("w") > F.col("cap")
+        spent, left, n = ranked.agg(F.sum(F.when(over, F.col("cap")).otherwise(0)), F.sum(F.when(~over, F.col("w"))), F.sum(over.cast("int"))).first()
+        if not left or n == before:
+            break
+        level, before = float(total - spent) / left, n
+    share = F.lit(level or 0.0) * F.col("w")
     return ranked.select("src", "source_size", F.when(share <= F.col("cap"), share).otherwise(F.col("cap").cast("double")).alias("target"))

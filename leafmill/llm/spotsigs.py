@@ -72,7 +72,8 @@ def signatures(text: str | None) -> np.ndarray:
     mixed = heads * _M1 ^ (content[first] + np.uint64(7)) * _M2 ^ (content[first + 1] + np.uint64(13)) * _M3
     mixed ^= mixed >> np.uint64(29)
     mixed *= _M1
-    return np.unique((mixed >> np.uint64(32)).astype("<u4"))
+    found = np.sort((mixed >> np.uint64(32)).astype("<u4"))
+    return found[np.append([True], found[1:] != found[:-1])]
 
 
 def encode(found: np.ndarray) -> str:
@@ -226,8 +227,8 @@ def edit_likeness(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the last document comes the first. Rows with equal doc_id are ordered by text, null doc_ids come last.
 
     Documents are dealt once, by ranges of doc_id. The first document of each range also visits the range before, so
-    that each range is read as a stream with one row of look-ahead. Range bounds and first ids (a few for each
-    partition) pass through the driver.
+    that each range is read as a stream with one row of look-ahead. Range bounds and first ids (a few numbers for each
+    partition) pass through the driver; rows find their range by bisection. Rows of one id, or without one, share a range.
     """
     spark = df.sparkSession
     arrow_rows(spark)
@@ -235,28 +236,44 @@ def edit_likeness(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     parts = shuffle_partitions(spark)
     n = parts * buckets_per_partition
     cuts = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 10_000).alias("c")).first()["c"]
-    cuts = sorted(set(cuts or []), reverse=True)
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
-    # Bucket: the number of bounds over the id (null: behind all), so buckets ascend as ids descend.
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(F.size(F.filter(bounds, lambda c: c > F.col("doc_id"))))
-    firsts = docs.select("doc_id", bucket.alias("bucket")).groupBy("bucket").agg(F.max("doc_id").alias("first")).orderBy("bucket").collect()
+    bounds = np.array(sorted(set(cuts or [])), dtype=np.int64)
+    nowhere = len(bounds) + 1  # the range of rows without an id, behind all others
+
+    def ranges(ids: pa.Array) -> np.ndarray:
+        """The number of bounds over each id, so that ranges ascend as ids descend."""
+        values = ids.fill_null(0).to_numpy(zero_copy_only=False)
+        return np.where(ids.is_null().to_numpy(zero_copy_only=False), nowhere, len(bounds) - np.searchsorted(bounds, values, "right")).astype(np.int32)
+
+    def largest(batches):
+        first: dict[int, int | None] = {}
+        for batch in batches:
+            for bucket, doc_id in zip(ranges(batch.column(0)).tolist(), batch.column(0).to_pylist(), strict=True):
+                first[bucket] = doc_id if bucket not in first or doc_id is None else max(first[bucket], doc_id)
+        yield pa.RecordBatch.from_arrays([pa.array(list(first), pa.int32()), pa.array(list(first.values()), pa.int64())], ["bucket", "first"])
+
+    firsts = docs.select("doc_id").mapInArrow(largest, "bucket int, first long").groupBy("bucket").agg(F.max("first").alias("first")).orderBy("bucket").collect()
     if not firsts:
         return spark.createDataFrame([], _EDIT_SCHEMA)
-    before = {row["first"]: firsts[i - 1]["bucket"] for i, row in enumerate(firsts)}
-    known = [(k, v) for k, v in before.items() if k is not None]
-    visits = F.lit(None).cast("int")
-    if known:
-        table = F.map_from_arrays(F.array(*[F.lit(k).cast("long") for k, _ in known]), F.array(*[F.lit(v) for _, v in known]))
-        visits = F.try_element_at(table, F.col("doc_id"))
-    if None in before:
-        visits = F.when(F.col("doc_id").isNull(), F.lit(before[None])).otherwise(visits)
-    seats = F.filter(
-        F.array(F.struct(bucket.cast("int").alias("bucket"), F.lit(False).alias("visitor")), F.struct(visits.cast("int").alias("bucket"), F.lit(True).alias("visitor"))),
-        lambda s: s["bucket"].isNotNull(),
-    )
+    seats = [r["bucket"] for r in firsts]
+    before = np.full(nowhere + 1, -1, np.int32)  # the range before each one that has rows; the last one, for the first
+    first_of = np.full(nowhere + 1, np.iinfo(np.int64).min, np.int64)
+    for i, row in enumerate(firsts):
+        before[row["bucket"]] = seats[i - 1]
+        if row["first"] is not None:
+            first_of[row["bucket"]] = row["first"]
+
+    def deal(batches):
+        for batch in batches:
+            bucket = ranges(batch.column(0))
+            ids = batch.column(0).fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+            visiting = np.flatnonzero(first_of[bucket] == ids)
+            twice = pa.array(np.concatenate([np.arange(len(ids)), visiting]))
+            where = np.concatenate([bucket, before[bucket[visiting]]])
+            visitor = np.concatenate([np.zeros(len(ids), bool), np.ones(len(visiting), bool)])
+            yield pa.RecordBatch.from_arrays([pa.array(where), pa.array(visitor), batch.column(0).take(twice), batch.column(1).take(twice)], ["bucket", "visitor", "doc_id", "text"])
+
     return (
-        docs.select("doc_id", "text", F.explode(seats).alias("seat"))
-        .select("seat.bucket", "seat.visitor", "doc_id", "text")
+        docs.mapInArrow(deal, "bucket int, visitor boolean, doc_id long, text string")
         .repartition(parts, "bucket")
         .sortWithinPartitions("bucket", "visitor", F.desc_nulls_last("doc_id"), F.asc_nulls_first("text"))
         .mapInArrow(_edit_rows, _EDIT_SCHEMA)

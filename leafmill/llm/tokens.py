@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -105,17 +106,22 @@ class Automaton:
         return total
 
 
-def load(path: str) -> Automaton:
-    """Automaton of a vocabulary file whose entries for word ends carry the file's own end mark."""
+def vocabulary_pieces(path: str) -> list[str]:
+    """Pieces of a vocabulary file; those for word ends carry END instead of the file's own end mark."""
     with open(path, encoding="utf-8") as file:
         model = json.load(file)["model"]
     mark = model.get("end_of_word_suffix") or ""
-    pieces = []
-    for piece in model["vocab"]:
-        if piece.startswith("<|"):
-            continue
-        pieces.append(piece.removesuffix(mark) + END if mark and piece.endswith(mark) else piece)
-    return Automaton(pieces)
+    return [p.removesuffix(mark) + END if mark and p.endswith(mark) else p for p in model["vocab"] if not p.startswith("<|")]
+
+
+def load(path: str) -> Automaton:
+    return Automaton(vocabulary_pieces(path))
+
+
+@lru_cache(maxsize=1)
+def _automaton(pieces: str) -> Automaton:
+    """One automaton for all tasks of a Python worker."""
+    return Automaton(pieces.split("\x00"))
 
 
 class _Counts(dict):
@@ -140,12 +146,13 @@ def words_of(text: str) -> list[str]:
 
 
 def count_tokens(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_tokens) of every row of df. `vocabulary` is a file that every executor can open."""
+    """(doc_id, n_words, n_tokens) of every row of df. `vocabulary` is a file of the driver's; its pieces are broadcast."""
     arrow_rows(df.sparkSession)
     kind = df.schema[id_col].dataType.simpleString()
+    pieces = df.sparkSession.sparkContext.broadcast("\x00".join(vocabulary_pieces(vocabulary)))  # bounded by the file
 
     def run(batches):
-        counts = _Counts(load(vocabulary))
+        counts = _Counts(_automaton(pieces.value))
         for batch in batches:
             words, tokens = [], []
             for text in batch.column(1).to_pylist():
