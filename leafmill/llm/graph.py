@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.functions.session import materialize
+from leafmill.functions.session import drop_scratch, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -32,6 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        now = materialize(small.distinct(), "edges")
+        done, now = now, materialize(small.distinct(), "edges")
+        drop_scratch(edges.sparkSession, done)
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())

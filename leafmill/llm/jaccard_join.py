@@ -103,7 +103,7 @@ def batch_grams(texts: list[str | None], n: int, cache: dict) -> tuple[np.ndarra
 
 
 def gram_set(text: str | None, n: int, cache: dict) -> np.ndarray:
-    return np.unique(gram_hashes(word_hashes(text, cache), n))
+    return unique(gram_hashes(word_hashes(text, cache), n))
 
 
 def sketch(grams: np.ndarray, slots: int = 512) -> np.ndarray:
@@ -202,7 +202,9 @@ def _name(grams, data: bytes = b"") -> int:
 
 
 class Members:
-    """A fixed-size bitmap over hashed values: no false "absent", some false "present"."""
+    """A fixed-size bitmap over hashed values: no false "absent", some false "present", for up to MOST values."""
+
+    MOST = 8_000_000
 
     def __init__(self, values: DataFrame, column: str):
         slot = _slots(F.col(column))
@@ -317,7 +319,8 @@ def _rest(percent: int, closest: bool):
 
     closest: of the pairs of a member with one component, only that with the most similar sketches.
 
-    role 0: members of the list's largest component, 2: other members, 1: the same other members, present in every shard.
+    role 0: members of the list's largest component, 2: other members, 1: a block of the same other members. A shard holds
+    one block of each side, so it stays bounded however many members are outside of the largest component.
     """
 
     def run(batches):
@@ -377,7 +380,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
+                both = len(x) + len(y) - len(unique(np.concatenate([x, y])))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
@@ -391,19 +394,28 @@ def _unconnected(members, lead, met, met_pairs, roots, near, side, parts: int, p
     """(a, b): pairs of members that met, pass the filters and are in different components of roots."""
     labelled = members.join(roots, members["member"] == roots["node"], "left").withColumn("comp", F.coalesce("root", "member")).drop("root", "node", "first_doc")
     labelled = materialize(labelled, "labelled")
-    short = met_pairs.where("kind = 1").select("grp_1", "grp_2").union(lead.where("many > 1").select("grp", "grp"))
+    kin = met_pairs.where("kind = 1").select("grp_1", "grp_2", "many").union(lead.where("many > 1").select("grp", F.col("grp"), "many"))
+    short = kin.where(F.col("many") <= _SMALL).select("grp_1", "grp_2")
     one, two = side(labelled, ("grp", "member", "comp"), 1), side(labelled, ("grp", "member", "comp"), 2)
     apart = short.join(one, "grp_1").join(two.withColumnRenamed("grp_2", "other"), F.expr("grp_2 = other and comp_1 <> comp_2 and (grp_1 <> grp_2 or member_1 < member_2)") & near)
     apart = apart.select(F.least("member_1", "member_2").alias("a"), F.greatest("member_1", "member_2").alias("b"))
 
+    # Groups of many members are lists too, alone and in pairs, so that no task holds all pairs of their members.
+    both = F.array_distinct(F.array("grp_1", "grp_2"))
+    grown = kin.where(F.col("many") > _SMALL).select(F.xxhash64("grp_1", "grp_2").alias("gram"), F.explode(both).alias("grp"))
+    grown = grown.join(labelled.select("grp", "member", "comp", "size"), "grp").select("grp", "gram", F.shiftleft("size", 32).alias("place"), "member", "comp")
     long_lists = met.where("kind = 2").select(F.col("x").alias("gram"), F.col("y").alias("grp"), F.col("z").alias("place")).join(labelled.select("grp", "member", "comp"), "grp")
+    long_lists = long_lists.unionByName(grown)
     by_comp = long_lists.groupBy("gram", "comp").agg(F.count("*").alias("n"))
-    lists = by_comp.groupBy("gram").agg(F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.sum("n").alias("n"), F.count("*").alias("comps")).where("comps > 1")
-    lists = lists.select("gram", "largest", F.ceil(F.col("n") / _BLOCK).cast("int").alias("shards"))
+    lists = by_comp.groupBy("gram").agg(F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.max("n").alias("most"), F.sum("n").alias("n"), F.count("*").alias("comps")).where("comps > 1")
+    # Cells of a list: `down` blocks of all members by `across` blocks of those outside the largest component.
+    lists = lists.select("gram", "largest", F.ceil(F.col("n") / _BLOCK).cast("int").alias("down"), F.ceil((F.col("n") - F.col("most")) / _BLOCK).cast("int").alias("across"))
     other = F.col("comp") != F.col("largest")
-    own = F.struct(F.pmod(F.xxhash64("member"), F.col("shards")).cast("int").alias("shard"), F.when(other, 2).otherwise(0).alias("role"))
-    guests = F.when(other, F.transform(F.sequence(F.lit(0), F.col("shards") - 1), lambda i: F.struct(i.alias("shard"), F.lit(1).alias("role"))))
-    seats = F.concat(F.array(own), F.coalesce(guests, F.array().cast("array<struct<shard:int,role:int>>")))
+    block = lambda n, salt: F.pmod(F.xxhash64("member", F.lit(salt)), n).cast("int")
+    seat = lambda i, j, role: F.struct((i * F.col("across") + j).alias("shard"), role.alias("role"))
+    base = F.transform(F.sequence(F.lit(0), F.col("across") - 1), lambda j: seat(block(F.col("down"), 0), j, F.when(other, 2).otherwise(0)))
+    guests = F.when(other, F.transform(F.sequence(F.lit(0), F.col("down") - 1), lambda i: seat(i, block(F.col("across"), 1), F.lit(1))))
+    seats = F.concat(base, F.coalesce(guests, F.array().cast("array<struct<shard:int,role:int>>")))
     long_pairs = (
         long_lists.join(lists, "gram")
         .join(labelled.select("member", *_SKETCH), "member")
@@ -472,17 +484,23 @@ def link_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     def sets_of(pairs):
         """(member, grams) of at least the members of pairs (a, b), read from the texts again."""
         needed = members.join(pairs.select(F.explode(F.array("a", "b")).alias("member")).distinct(), "member", "left_semi")
-        bits = Members(needed.select(F.coalesce("first_doc", F.lit(-1)).alias("key")), "key").shared
+        keys = needed.select(F.coalesce("first_doc", F.lit(-1)).alias("key"))
+        few = keys.count() <= Members.MOST
+        bits = Members(keys, "key").shared if few else None
 
         def run(batches):
             cache = _WordHash()
             for batch in batches:
-                texts = batch.column(1).filter(pa.array(Members.hit(bits.value, batch.column(0).to_numpy(zero_copy_only=False)))).to_pylist()
-                found = [g for g in (gram_set(t, n, cache) for t in texts) if len(g)]
+                texts = batch.column(1)
+                if few:
+                    texts = texts.filter(pa.array(Members.hit(bits.value, batch.column(0).to_numpy(zero_copy_only=False))))
+                found = [g for g in (gram_set(t, n, cache) for t in texts.to_pylist()) if len(g)]
                 yield pa.RecordBatch.from_arrays([pa.array([_name(g) for g in found], pa.int64()), pa.array([g.tobytes() for g in found], pa.binary())], ["member", "grams"])
 
-        keyed = docs.select(_slots(F.coalesce("doc_id", F.lit(-1))).alias("slot"), "text")
-        return materialize(keyed.mapInArrow(run, "member long, grams binary"), "sets")
+        chosen = docs.withColumn("key", F.coalesce("doc_id", F.lit(-1)))
+        if not few:  # the bitmap would let most texts pass
+            chosen = chosen.join(keys.distinct(), "key", "left_semi")
+        return materialize(chosen.select(_slots(F.col("key")).alias("slot"), "text").mapInArrow(run, "member long, grams binary"), "sets")
 
     def side(table, key, suffix):
         """(grp or member renamed, size and sketch with a suffix) for near()."""
@@ -497,22 +515,27 @@ def link_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     met_pairs = met.where("kind < 2").groupBy(F.col("x").alias("grp_1"), F.col("y").alias("grp_2")).agg(F.max("kind").alias("kind"))
     met_pairs = met_pairs.join(side(lead, ("grp", "member", "many"), 1), "grp_1").join(side(lead, ("grp", "member", "many"), 2), "grp_2")
     met_pairs = met_pairs.withColumn("near", near).where("near or many_1 > 1 or many_2 > 1")
-    met_pairs = materialize(met_pairs.select("grp_1", "grp_2", "member_1", "member_2", "kind", "near"), "met-pairs")
+    met_pairs = materialize(met_pairs.select("grp_1", "grp_2", "member_1", "member_2", "kind", "near", (F.col("many_1") + F.col("many_2")).alias("many")), "met-pairs")
     some = F.slice(F.array_sort(F.collect_list(F.struct(F.xxhash64("member_1", "member_2").alias("h"), F.col("member_2").alias("b")))), 1, 2)
     first = met_pairs.where("near").groupBy(F.col("member_1").alias("a")).agg(some.alias("some")).select("a", F.explode("some").alias("s")).select("a", "s.b")
     inside = side(members.join(lead.where("many > 1").select("grp"), "grp", "left_semi"), ("grp", "member"), 1)
     inside = inside.join(side(lead.where("many > 1"), ("grp", "member"), 2), F.expr("grp_1 = grp_2 and member_1 <> member_2")).where(near)
     first = first.union(inside.select("member_1", "member_2")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     first = materialize(_plausible(first.where("a <> b").distinct(), wide, percent), "pairs")
-    links = materialize(_verified(first, sets_of(first), percent), "links")
+    first_sets = sets_of(first)
+    links = materialize(_verified(first, first_sets, percent), "links")
     roots = materialize(components(links), "roots")
 
+    drop_scratch(spark, first_sets)
+
     # Second pass: whatever passes the filters and is not connected yet; first only the closest pairs, which connect most.
     seen = first
     for closest in (True, False):
         pairs = _unconnected(members, lead, met, met_pairs, roots, near, side, parts, percent, closest).join(seen, ["a", "b"], "left_anti")
         pairs = materialize(_plausible(pairs, wide, percent), "pairs")
-        links = materialize(_verified(pairs, sets_of(pairs), percent).union(links), "links")
+        sets = sets_of(pairs)
+        links = materialize(_verified(pairs, sets, percent).union(links), "links")
+        drop_scratch(spark, sets)
         roots = materialize(components(links), "roots")
         seen = seen.union(pairs)
 
