@@ -4,7 +4,9 @@ Texts are cut into sentences. A sentence may go on over single line breaks (with
 up to a full stop or a blank line; the shortest runs of its pieces that are known are taken, so each line also counts
 alone, and then run on to the end of their sentence where that is known as the same. A normalised sentence (lower case, no punctuation, years and holders reduced) is mapped to
 the identifier of a known licence sentence, and the sequence of identifiers in a text is matched, longest rule first,
-against ordered licence rules. Sentences in between that are not known are passed over up to a given gap.
+against ordered licence rules. Sentences of the licence texts themselves are looked up; references with parts of their own
+(versions, names) are matched by patterns. Between the sentences of a rule others that are not known are passed over up to
+a given gap, and so are copyright lines and the like.
 
 Cases: null and empty texts match nothing; a licence that occurs again is told again; equal rows have equal results;
 a text without any of the words that the known sentences need is not cut at all. Positions are code points.
@@ -96,9 +98,71 @@ RULES = [
     ("Proprietary", ("copyright", "all-rights")),
     ("Proprietary", ("all-rights",)),
 ]
+#: Sentences of licence texts as they stand, by the identifier that they share with the patterns.
+TEXTS = {
+    "mit-grant": [
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the
+        "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish,
+        distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the
+        following conditions:""",
+    ],
+    "mit-cond": ["The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."],
+    "as-is": [
+        """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.""",
+        """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+        LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+        """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+        MERCHANTABILITY AND FITNESS.""",
+    ],
+    "no-liability": [
+        """IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT,
+        TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+        """IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR
+        CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+        INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR
+        OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+        """IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
+        LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE
+        USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    ],
+    "apache-ref": ["Licensed under the Apache License, Version 2.0 (the \"License\");"],
+    "apache-comply": ["you may not use this file except in compliance with the License."],
+    "apache-obtain": ["You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"],
+    "apache-basis": [
+        """Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+        WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
+    ],
+    "apache-terms": ["See the License for the specific language governing permissions and limitations under the License."],
+    "gpl-free": [
+        """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by
+        the Free Software Foundation; either version 2 of the License, or (at your option) any later version.""",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by
+        the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
+    ],
+    "gpl-hope": [
+        """This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.""",
+    ],
+    "gpl-copy": ["You should have received a copy of the GNU General Public License along with this program."],
+    "bsd-grant": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"],
+    "bsd-source": ["Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."],
+    "bsd-binary": [
+        """Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+        documentation and/or other materials provided with the distribution.""",
+    ],
+    "isc-grant": [
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the
+        above copyright notice and this permission notice appear in all copies.""",
+    ],
+}
+#: Sentences that stand between those of a rule without a part in it.
+ASIDE = frozenset(("copyright", "all-rights", "apache-terms"))
 _KNOWN = [(name, re.compile(pattern)) for name, pattern in SENTENCES]
 #: Characters that any known sentence has at most; years of a copyright line are counted as 400 characters.
-_WIDEST = 400 + max(w for w in (_parser.parse(pattern).getwidth()[1] for _, pattern in SENTENCES) if w < 10_000)
+_WIDEST = 400 + max(
+    *(w for w in (_parser.parse(pattern).getwidth()[1] for _, pattern in SENTENCES) if w < 10_000), *(len(t) for texts in TEXTS.values() for t in texts)
+)
 _ORDERED = sorted(RULES, key=lambda r: -len(r[1]))
 
 
@@ -111,12 +175,19 @@ def hinted(flat: str) -> bool:
     return any(h in flat for h in _HINTS)
 
 
+_DICTIONARY = {normalise(text): name for name, texts in TEXTS.items() for text in texts}
+
+
 def identify(sentence: str) -> str | None:
     return _identify(normalise(sentence))
 
 
 def _identify(flat: str) -> str | None:
-    return next((name for name, pattern in _KNOWN if pattern.fullmatch(flat)), None) if hinted(flat) else None
+    """The identifier of a known sentence: by look-up, else by the patterns of sentences with parts of their own."""
+    name = _DICTIONARY.get(flat)
+    if name is None and hinted(flat):
+        name = next((name for name, pattern in _KNOWN if pattern.fullmatch(flat)), None)
+    return name
 
 
 def _sentence(pieces: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
@@ -175,17 +246,33 @@ def sentences(text: str) -> list[tuple[int, int, str]]:
 
 
 def match(found: list[tuple[int, int, str]], gap: int = 2000) -> list[tuple[str, int, int, int]]:
-    """(licence, start, end, number of sentences): rules on a sequence of identifiers, longest first at each place."""
+    """(licence, start, end, number of sentences): rules on a sequence of identifiers, longest first at each place.
+
+    Sentences of ASIDE may stand between those of a rule; rules that name them take them where they stand.
+    """
+
+    def places(i: int, rule: tuple[str, ...]) -> list[int]:
+        out = []
+        for name in rule:
+            while out and i < len(found) and found[i][2] != name and found[i][2] in ASIDE:
+                i += 1
+            if i >= len(found) or found[i][2] != name or out and found[i][0] - found[out[-1]][1] > gap:
+                return []
+            out.append(i)
+            i += 1
+        return out
+
     out, i = [], 0
+    taken: set[int] = set()
     while i < len(found):
-        for licence, rule in _ORDERED:
-            part = found[i : i + len(rule)]
-            if tuple(p[2] for p in part) == rule and all(b[0] - a[1] <= gap for a, b in zip(part, part[1:], strict=False)):
-                out.append((licence, part[0][0], part[-1][1], len(rule)))
-                i += len(rule)
-                break
-        else:
-            i += 1
+        if i not in taken:
+            for licence, rule in _ORDERED:
+                at = places(i, rule)
+                if at and not taken.intersection(at):
+                    out.append((licence, found[at[0]][0], found[at[-1]][1], len(rule)))
+                    taken.update(at)
+                    break
+        i += 1
     return out
 
 

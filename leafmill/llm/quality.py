@@ -1,7 +1,7 @@
 """Quality classifier: attention-based multiple-instance learning.
 
 A document is a bag of passages of 512 code points. Each passage is encoded by character classes, word shape, repetition
-and common words; a learned layer turns the encoding into a hidden vector, gated attention (tanh gate times sigmoid gate)
+(of lines and words of earlier passages too) and common words, never by its document's length or other passages to come; a learned layer turns the encoding into a hidden vector, gated attention (tanh gate times sigmoid gate)
 weighs the passages, and the weighted vector is scored. Only document labels are used: the attention learns which
 passages speak for the label.
 
@@ -32,8 +32,8 @@ N_FEATURES = 24
 
 
 def _class_table() -> np.ndarray:
-    table = np.full(0x3000, OTHER_LETTER, dtype=np.int64)
-    for i in range(0x3000):
+    table = np.full(0x110000, OTHER_LETTER, dtype=np.int8)
+    for i in range(0x110000):
         c = chr(i)
         if c in "\n\r":
             table[i] = BREAK
@@ -65,8 +65,8 @@ def encode(text: str | None) -> np.ndarray:
     """(passages, N_FEATURES) of a text; the whole text counts."""
     if not text:
         return np.zeros((1, N_FEATURES), dtype=np.float32)
-    codes = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4"), 0x2FFF)
-    classes = _CLASSES[codes]
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    classes = _CLASSES[codes].astype(np.int64)
     n = len(text)
     count = (n + PASSAGE - 1) // PASSAGE
     where = np.arange(n) // PASSAGE
@@ -79,6 +79,7 @@ def encode(text: str | None) -> np.ndarray:
     out[:, :N_CLASSES] = shares / lengths[:, None]
     out[:, 10] = doubled / lengths
     seen_lines: set[str] = set()
+    seen_words: set[str] = set()
     for i in range(count):
         part = text[i * PASSAGE : (i + 1) * PASSAGE]
         words = part.split()
@@ -94,12 +95,13 @@ def encode(text: str | None) -> np.ndarray:
         out[i, 16] = min(len(lines), 40) / 10
         out[i, 17] = sum(len(w) == 1 for w in words) / k
         out[i, 18] = sum(len(w) > 14 for w in words) / k
+        out[i, 23] = len(unique & seen_words) / max(1, len(unique))
+        seen_words |= unique
     letters = shares[:, LOWER] + shares[:, UPPER] + shares[:, OTHER_LETTER]
     out[:, 19] = shares[:, UPPER] / np.maximum(1, letters)
     out[:, 20] = shares[:, SYMBOL] / np.maximum(1, shares[:, SPACE] + 1)
     out[:, 21] = shares[:, STOP] / np.maximum(1, shares[:, SPACE] + 1)
-    out[:, 22] = np.log1p(n) / 10
-    out[:, 23] = len(set(text.split())) / max(1, text.count(" ") + text.count("\n") + 1)
+    out[:, 22] = np.log1p(lengths) / 10
     return out
 
 
@@ -134,6 +136,25 @@ class Model:
         return self.forward((np.concatenate(bags) - self.mean) / self.scale, starts)[0].astype(np.float64)
 
 
+def gradient(model: Model, x: np.ndarray, starts: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+    """Gradient of the mean log loss by each weight."""
+    w = model.w
+    p, (sizes, h, v, u, att, z) = model.forward(x, starts)
+    dlogit = (p - y) / len(y)
+    g = {"c": z.T @ dlogit, "d": np.array([dlogit.sum()])}
+    dz = np.repeat(dlogit[:, None] * w["c"], sizes, axis=0)
+    datt = (dz * h).sum(1)
+    dh = att[:, None] * dz
+    de = att * (datt - np.repeat(np.add.reduceat(att * datt, starts), sizes))
+    g["a"] = (v * u).T @ de
+    dvu = de[:, None] * w["a"]
+    dv, du = dvu * u * (1 - v * v), dvu * v * u * (1 - u)
+    g["V"], g["U"] = h.T @ dv, h.T @ du
+    dh = (dh + dv @ w["V"].T + du @ w["U"].T) * (1 - h * h)
+    g["We"], g["be"] = x.T @ dh, dh.sum(0)
+    return g
+
+
 def train(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 24, gate: int = 12, steps: int = 250, rate: float = 0.02, decay: float = 1e-3, seed: int = 11) -> Model:
     """Full-batch Adam on the log loss."""
     y = np.asarray(labels, dtype=np.float64)
@@ -150,19 +171,7 @@ def train(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 24, gate: in
     m = {k: np.zeros_like(v) for k, v in w.items()}
     s2 = {k: np.zeros_like(v) for k, v in w.items()}
     for step in range(1, steps + 1):
-        p, (sizes, h, v, u, att, z) = model.forward(x, starts)
-        dlogit = (p - y) / len(y)
-        g = {"c": z.T @ dlogit, "d": np.array([dlogit.sum()])}
-        dz = np.repeat(dlogit[:, None] * w["c"], sizes, axis=0)
-        datt = (dz * h).sum(1)
-        dh = att[:, None] * dz
-        de = att * (datt - np.repeat(np.add.reduceat(att * datt, starts), sizes))
-        g["a"] = (v * u).T @ de
-        dvu = de[:, None] * w["a"]
-        dv, du = dvu * u * (1 - v * v), dvu * v * u * (1 - u)
-        g["V"], g["U"] = h.T @ dv, h.T @ du
-        dh = (dh + dv @ w["V"].T + du @ w["U"].T) * (1 - h * h)
-        g["We"], g["be"] = x.T @ dh, dh.sum(0)
+        g = gradient(model, x, starts, y)
         for k in w:
             grad = g[k] + decay * w[k] * (k not in ("be", "d"))
             m[k] = 0.9 * m[k] + 0.1 * grad
@@ -185,29 +194,33 @@ def _encodings(batches):
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", max_labelled: int = 4000, **how) -> Model:
-    """Model of the labelled documents of docs (at most max_labelled, by hash of the id)."""
+    """Model of the labelled documents of docs (at most max_labelled, by hash of the id).
+
+    One label of an id that has several counts, the smallest. All rows of an id count once for each text; the encodings
+    (24 numbers for 512 characters) of the sample go to the driver.
+    """
     arrow_rows(docs.sparkSession)
     known = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("label"))
-    known = known.where("doc_id is not null and label in (0, 1)").dropDuplicates(["doc_id"])
+    known = known.where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.min("label").alias("label"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    sample = texts.join(F.broadcast(known), "doc_id").select("doc_id", "text", "label")
+    sample = texts.join(F.broadcast(known), "doc_id").select("doc_id", "text", "label").distinct()
     rows = sample.mapInArrow(_encodings, "doc_id long, label int, bag binary").toPandas().sort_values(["doc_id", "bag"])
     bags = [np.frombuffer(b, dtype=np.float32).reshape(-1, N_FEATURES) for b in rows["bag"]]
     return train(bags, rows["label"].to_numpy(), **how)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with a column score: 0 to 1, higher for better texts."""
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """docs with a column score_col: 0 to 1, higher for better texts. A column of that name is replaced."""
     arrow_rows(docs.sparkSession)
-    names = [c for c in docs.columns if c != "score"]
+    names = [c for c in docs.columns if c != score_col]
     docs = docs.select(*names)
     at = names.index(text_col)
-    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())])
 
     def run(batches):
         for batch in batches:
             scores = model.scores([encode(t) for t in batch.column(at).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, score_col])
 
     return docs.mapInArrow(run, schema)
