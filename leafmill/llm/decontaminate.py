@@ -29,11 +29,13 @@ UNITS = """mm cm dm m km in ft yd mi mg g kg t lb lbs oz ml cl l s sec secs min
 pa bar k c f second seconds minute minutes hour hours day days week weeks month months year years meter meters metre metres kilometer kilometers
 kilometre kilometres mile miles foot feet inch inches yard yards gram grams kilogram kilograms pound pounds ounce ounces liter liters litre litres
 dollar dollars euro euros cent cents percent degrees degree""".split()
-_NAME = r"(?<=[\p{L}\p{N},;:] )\p{Lu}[\p{L}\p{N}]*"
+_NAME = r"\p{Lu}(?<=[\p{L}\p{N},;:] \p{Lu})[\p{L}\p{N}]*+"
 _NUMBER = r"[0-9]+(?:[.,:/][0-9]+)*"
-_UNIT = r"(?<=[0-9] ?)(?:" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{N}])"
-_SPACE = r"[\s\p{Z}]+"
-_GAP = r"[^\p{L}" + NUMBER + "-" + NAME + "]+"
+_UNITS = "(?:" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{N}])"
+_UNIT = "(?<=[0-9] ?)" + _UNITS
+#: The plain characters come first in these classes, as they are the quick ones to tell.
+_SPACE = r"[\s\u0080-\uffff&&[\s\p{Z}]]++"
+_GAP = r"[^a-zA-Z\p{L}" + NUMBER + "-" + NAME + "]++"
 #: Kinds of windows.
 TEMPLATE, FOLDED, WORDS = 0, 1, 2
 #: Hashes of windows that are broadcast at most (8 bytes each).
@@ -43,10 +45,10 @@ BLOCK = 1_000_000
 def template(text: Column) -> Column:
     """Array of template tokens."""
     text = F.regexp_replace(text, _SPACE, " ")
-    marked = F.regexp_replace(F.regexp_replace(text, _NAME, f" {NAME} "), _UNIT, f" {UNIT} ")
+    marked = F.regexp_replace(F.regexp_replace(text, _NAME, f" {NAME} "), f"([0-9] ?){_UNITS}", f"$1 {UNIT} ")
     marked = F.regexp_replace(marked, _NUMBER, f" {NUMBER} ")
-    spaced = F.trim(F.regexp_replace(F.lower(marked), _GAP, " "))
-    return F.when(F.length(spaced) > 0, F.split(spaced, " ")).otherwise(F.array().cast("array<string>"))
+    cut = F.array_remove(F.split(F.regexp_replace(F.lower(marked), _GAP, " "), " "), "")
+    return F.coalesce(cut, F.array().cast("array<string>"))
 
 
 def slot_values(text: Column) -> Column:
@@ -92,11 +94,18 @@ def _part_hash(part: Column, window: int, kind: int) -> Column:
     return F.coalesce(*whole)
 
 
-def _windows(marks: Column, length: int, kind: int) -> Column:
-    """Array of (dpos, hash)."""
+def _windows(marks: Column, length: int, kind: int, places: Column | None = None) -> Column:
+    """Array of (dpos, hash), of all windows or of those at some places."""
     last = F.size(marks) - length
     shown = lambda i: F.struct(i.alias("dpos"), _hash(marks, i, length, kind).alias("hash"))
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), shown)).otherwise(F.array().cast("array<struct<dpos:int,hash:bigint>>"))
+    at = F.sequence(F.lit(0), last) if places is None else F.filter(places, lambda i: i <= last)
+    return F.when(last >= 0, F.transform(at, shown)).otherwise(F.array().cast("array<struct<dpos:int,hash:bigint>>"))
+
+
+def _near_slots(tokens: Column, length: int) -> Column:
+    """Places of the windows of a length with a number or unit in them."""
+    slots = F.filter(F.transform(tokens, lambda t, i: F.when(t.isin(NUMBER, UNIT), i)), lambda i: i.isNotNull())
+    return F.array_distinct(F.flatten(F.transform(slots, lambda i: F.sequence(F.greatest(i - (length - 1), F.lit(0)), i))))
 
 
 def _slots(rows: DataFrame, key: str) -> DataFrame:
@@ -146,11 +155,16 @@ def leaks(
     docs = docs.where("doc_id is not null")
     tokens = _all_tokens(docs, "doc_id")
     used = sorted({by for _, by in kinds})
-    tokens = tokens.select("doc_id", *(_marks(F.col(f"t{by}")).alias(f"m{by}") for by in used))
+    # Windows of few literals are looked up as they are only where there are numbers or units.
+    tokens = tokens.withColumn("near", _near_slots(F.col("t1"), window) if WORDS in used else F.array().cast("array<int>"))
+    marks = {by: _marks(F.col(f"t{by}")) for by in used}
+    if WORDS in used:
+        marks[WORDS] = F.when(F.size("near") > 0, marks[WORDS]).otherwise(F.array().cast("array<bigint>"))
+    tokens = tokens.select("doc_id", "near", *(c.alias(f"m{by}") for by, c in marks.items()))
     # One pass over the documents for windows of all lengths. Hashes of many windows are joined by a shuffle, which
     # Spark cuts down by a bloom filter of the hashes where it pays.
     none = F.array().cast("array<struct<dpos:int,hash:bigint>>")
-    shown = F.concat(none, *(_windows(F.col(f"m{by}"), n, by) for n, by in kinds))
+    shown = F.concat(none, *(_windows(F.col(f"m{by}"), n, by, F.col("near") if by == WORDS else None) for n, by in kinds))
     shown = tokens.select("doc_id", F.explode(shown).alias("w")).select("doc_id", "w.dpos", "w.hash")
     found = materialize(shown.join(F.broadcast(hashes) if many <= BLOCK else hashes, "hash", "left_semi"), "window-hits")
 
