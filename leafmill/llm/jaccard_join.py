@@ -142,9 +142,9 @@ class Order:
 
 
 def heavy_grams(texts: DataFrame, n: int, limit: int, least_seen: int = 4) -> np.ndarray:
-    """Grams seen least_seen times or more, lightest first, at most limit.
+    """Grams of least_seen documents or more, lightest first, at most limit.
 
-    Each task counts the grams that repeat within its chunks of documents, every place of a text, and tells at most limit of them; sums are
+    Each task counts the grams that repeat within its chunks of documents and tells at most limit of them; sums are
     taken over all tasks. A histogram by powers of 2 ** (1/8) gives the count from which at most limit grams are left.
     """
 
@@ -166,11 +166,11 @@ def heavy_grams(texts: DataFrame, n: int, limit: int, least_seen: int = 4) -> np
             parts, held = [], 0
 
         for batch in batches:
-            for texts in portions(batch.column(0).to_pylist()):
-                parts.append(batch_grams(texts, n, cache)[0])
+            for text in batch.column(0).to_pylist():
+                parts.append(gram_set(text, n, cache))
                 held += len(parts[-1])
-                if held > 1_000_000:
-                    fold()
+            if held > 1_500_000:
+                fold()
         fold()
         keep = np.flatnonzero(counts > 3)
         keep = keep[np.argsort(-counts[keep], kind="stable")[:limit]]
