@@ -11,11 +11,13 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or an own folder where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, the warehouse, or an own local folder in local mode."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     app = spark.sparkContext.applicationId
+    if not spark.sparkContext.master.startswith("local"):
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     if app not in _OWN:
         _OWN[app] = "file://" + tempfile.mkdtemp(prefix="leafmill-")
         spark.conf.set("spark.checkpoint.dir", _OWN[app])
