@@ -284,3 +284,35 @@ def test_pipeline_stages(spark, tmp_path):
     empty = docs.where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf).count() == 0
+
+
+def test_pipeline_stages_by_row(spark, tmp_path):
+    """Rows with repeated ids, without ids and with a column named score, against plain versions of the stages."""
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(800)]
+    base = [" ".join(rng.choices(vocabulary, k=80)) for _ in range(12)]
+    rows = [(i, t) for i, t in enumerate(base)]
+    rows += [(3, base[3]), (3, base[3]), (50, base[4] + " more"), (None, base[5]), (None, "only here " + " ".join(rng.choices(vocabulary, k=60)))]
+    rows += [(2, " ".join(rng.choices(vocabulary, k=70))), (60, ITEM), (None, "so. " + ITEM), (61, None), (62, ""), (61, None)]
+    df = spark.createDataFrame([(d, t, "en", "s", len(t or ""), 99.0) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long, score double")
+
+    def near(x, y):
+        a, b = ({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for w in ((x or "").split(), (y or "").split()))
+        return bool(a) and 100 * len(a & b) >= 80 * len(a | b)
+
+    groups = []
+    for row in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        mine = [g for g in groups if any(near(row[1], other[1]) for other in g)]
+        groups = [g for g in groups if g not in mine] + [sum(mine, []) + [row]]
+    want = sorted((g[0] for g in groups), key=str)
+    kept = corpus_pipeline.drop_near_copies(spark, df, "")
+    assert kept.columns == df.columns and sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == want
+
+    spark.createDataFrame([(7, ITEM)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    clean = corpus_pipeline.drop_leaks(spark, df, str(tmp_path))
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted([r for r in rows if ITEM not in (r[1] or "")], key=str)
+
+    spark.createDataFrame([(i, 1, 0) for i in range(12)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    good = corpus_pipeline.quality_filter(spark, df, str(tmp_path))
+    assert good.columns == df.columns and {r.score for r in good.collect()} == {99.0}
+    assert good.count() == sum(t is not None for _, t in rows)
