@@ -142,7 +142,28 @@ def word_hard_split(spark: SparkSession, sf: str) -> DataFrame:
     return chunks.word_pieces(words, 400).select("doc_id", "piece_id", "content")
 
 
-@query()
+#: Items are sentences, or the words of a sentence over 400 characters; such a sentence begins a piece.
+_SENTENCE_PACK = r"""
+with recursive cut as (select doc_id, string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) as list from documents where text is not null),
+sent as (select doc_id, unnest(list) as s, generate_subscripts(list, 1) as n from cut),
+items0 as (select doc_id, n, 0 as k, s as item, false as seam from sent where s <> '' and length(s) <= 400
+  union all select doc_id, n, generate_subscripts(w, 1) as k, unnest(w) as item, generate_subscripts(w, 1) = 1 as seam
+  from (select doc_id, n, list_filter(string_split_regex(s, '\s+'), lambda x: x <> '') as w from sent where length(s) > 400)),
+items as (select doc_id, item, seam, length(regexp_replace(item, '^\s+|\s+$', '', 'g')) as len, row_number() over (partition by doc_id order by n, k) as i from items0),
+f as (
+  select doc_id, i, len as held, 0 as piece from items where i = 1
+  union all
+  select o.doc_id, o.i, case when not o.seam and f.held + 1 + o.len <= 400 then f.held + 1 + o.len else o.len end,
+    case when not o.seam and f.held + 1 + o.len <= 400 then f.piece else f.piece + 1 end
+  from f join items o on o.doc_id = f.doc_id and o.i = f.i + 1
+)
+select doc_id, piece::int as piece_id, case when count(*) > 1 then regexp_replace(string_agg(item, ' ' order by i), '^\s+|\s+$', '', 'g') else any_value(item) end as content
+from f join items using (doc_id, i) group by doc_id, piece
+union all select doc_id, 0, text from documents where text = ''
+"""
+
+
+@query(_SENTENCE_PACK)
 def sentence_pack(spark: SparkSession, sf: str) -> DataFrame:
     docs = fixtures.read(spark, sf, "documents").where("text is not null")
     return chunks.sentence_pieces(docs, 400).select("doc_id", "piece_id", "content")
@@ -542,7 +563,20 @@ def tables_similar(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "table_no", F.coalesce(tables.similar(F.col("table"), F.col("prior")), F.lit(False)).alias("same"))
 
 
-@query()
+_RENDERED = f"""{_PARSED}, by_col as (select doc_id, table_no, unnest(header) as h, generate_subscripts(header, 1) as c, data from b),
+col as (select doc_id, table_no, c, h, list_transform(data, lambda r: r[c]) as v from by_col),
+num as (select *, len(v) > 0 and len(list_filter(v, lambda x: not regexp_matches(x, '^\\s*[+-]?(?:\\d+(?:\\.\\d*)?|\\.\\d+)(?:[eE][+-]?\\d+)?\\s*$'))) = 0 as r,
+  list_transform(v, lambda x: case when contains(x, '.') then length(string_split(x, '.')[-1]) else -1 end) as frac from col),
+even as (select *, case when r then list_transform(v, lambda x, i: x || repeat(' ', list_max(frac) - frac[i])) else v end as cells from num),
+wide as (select *, greatest(length(h) + 2, coalesce(list_max(list_transform(cells, lambda x: length(x))), 0)) as w from even),
+drawn as (select doc_id, table_no, c, list_concat([case when r then repeat(' ', w - length(h)) || h else h || repeat(' ', w - length(h)) end, case when r then repeat('-', w + 1) || ':' else ':' || repeat('-', w + 1) end],
+  list_transform(cells, lambda x: case when r then repeat(' ', w - length(x)) || x else x || repeat(' ', w - length(x)) end)) as parts from wide),
+parts as (select doc_id, table_no, c, unnest(parts) as t, generate_subscripts(parts, 1) as ln from drawn),
+out_rows as (select doc_id, table_no, ln, case when ln = 2 then '|' || string_agg(t, '|' order by c) || '|' else '| ' || string_agg(t, ' | ' order by c) || ' |' end as t from parts group by doc_id, table_no, ln),
+rendered as (select doc_id, table_no, string_agg(t, chr(10) order by ln) as markdown from out_rows group by doc_id, table_no)"""
+
+
+@query(f"with {_RENDERED} select doc_id, table_no, markdown from rendered")
 def md_table_render(spark: SparkSession, sf: str) -> DataFrame:
     header, data = tables.parse_markdown(F.col("table"))
     return merge.markdown_tables(fixtures.markdown(spark, sf)).select("doc_id", "table_no", fn.render_table(header, data).alias("markdown"))
@@ -602,21 +636,42 @@ def _paged(spark: SparkSession, sf: str) -> DataFrame:
     return md.select("doc_id", F.array_join(marked, "\n").alias("text"))
 
 
-@query()
+_SPOTS = f"""{sql.LINES}, m as (select doc_id, ln, case when ln % 10 = 9 then '<!-- Page ' || (2 + ln // 10) || ' -->' else line end as line from lines),
+mt as (select doc_id, string_agg(line, chr(10) order by ln) as text, (sum(length(line) + 1) - 1)::int as total from m group by doc_id),
+mp as (select doc_id, ln, line, coalesce(sum(length(line) + 1) over (partition by doc_id order by ln rows between unbounded preceding and 1 preceding), 0)::int as pos from m),
+mk as (select doc_id, (2 + ln // 10)::int as page, pos from mp where ln % 10 = 9 union all select doc_id, 1, 0 from mt where doc_id not in (select doc_id from m where ln = 9)),
+pg as (select doc_id, page, pos, coalesce(lead(pos) over (partition by doc_id order by pos), total) as stop from mk join mt using (doc_id)),
+mr as (select *, regexp_matches(line, '^\\|') as r, sum((not regexp_matches(line, '^\\|'))::int) over (partition by doc_id order by ln) as g from mp),
+tb as (select doc_id, min(pos) as s, least(max(pos + length(line) + 1), any_value(total)) as e from mr join mt using (doc_id) where r group by doc_id, g having count(*) > 1 and regexp_matches(list(line order by ln)[2], '^\\|[-| :]+\\|?$')),
+spots as (select mt.doc_id, k.page::int as page, coalesce((select max(e) from tb where tb.doc_id = mt.doc_id and tb.s >= pg.pos and tb.e <= pg.stop), pg.stop, total)::int as pos
+  from mt cross join (values (1), (2), (3)) k(page) left join pg on pg.doc_id = mt.doc_id and pg.page = k.page)"""
+
+
+@query(f"with {_SPOTS} select doc_id, page, pos from spots")
 def insert_position(spark: SparkSession, sf: str) -> DataFrame:
     md = _paged(spark, sf)
     wanted = md.select("doc_id", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("page"))
     return merge.insert_positions(md, wanted)
 
 
-@query()
+@query(
+    f"""with {_SPOTS}, two as (select doc_id, min(pos) as a, max(pos) as z from spots where page > 1 group by doc_id),
+extra as (select chr(10) || chr(10) || '| a |' || chr(10) || '|---|' || chr(10) || '| 1 |' || chr(10) || chr(10) as x)
+select doc_id, substr(text, 1, a) || x || substr(text, a + 1, z - a) || x || substr(text, z + 1) as text from mt join two using (doc_id), extra"""
+)
 def inject_tables(spark: SparkSession, sf: str) -> DataFrame:
     md = _paged(spark, sf)
     extra = md.select("doc_id", F.explode(F.array(F.lit(2), F.lit(3))).alias("page"), F.lit(1.0).alias("top"), F.lit("| a |\n|---|\n| 1 |").alias("markdown"))
     return merge.inject_tables(md, extra)
 
 
-@query()
+@query(
+    f"""with {_RENDERED}, runs as (select doc_id, g, (row_number() over (partition by doc_id order by g) - 1)::int as table_no from t where len(rows) > 1 and regexp_matches(rows[2], '^\\|[-| :]+\\|?$')),
+placed as (select run.doc_id, run.ln, run.line, run.r and x.g is not null as swap, x.table_no, lag(case when run.r then run.g end) over w as before, run.g, lead(run.ln) over w is null as last
+  from run left join runs x on x.doc_id = run.doc_id and x.g = run.g and run.r window w as (partition by run.doc_id order by run.ln)),
+piece as (select doc_id, ln, case when not swap then line || case when last then '' else chr(10) end when before is distinct from g then markdown || chr(10) else '' end as t from placed left join rendered using (doc_id, table_no))
+select doc_id, string_agg(t, '' order by ln) as text from piece group by doc_id"""
+)
 def inject_better_tables(spark: SparkSession, sf: str) -> DataFrame:
     md = fixtures.markdown(spark, sf).select("doc_id", "text")
     header, data = tables.parse_markdown(F.col("table"))
@@ -624,9 +679,19 @@ def inject_better_tables(spark: SparkSession, sf: str) -> DataFrame:
     return merge.replace_tables(md, better)
 
 
-@query()
+@query(
+    f"""with {sql.LINES}, d as (select doc_id, regexp_replace(regexp_replace(text, '!\\[[^\\]]*\\]\\([^)]+\\)', '<!-- image -->', 'g'), '(?m)^\\*(Figure .*)\\*$', chr(10) || '\\1' || chr(10), 'g') as text from totals),
+cl as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as ln from d),
+pl as (select *, trim(line) = '' as blank, sum((trim(line) = '')::int) over (partition by doc_id order by ln) as para from cl),
+ps as (select doc_id, para, min(ln) as head, max(ln) as tail, min_by(line, ln) as line from pl where not blank group by doc_id, para),
+nb as (select *, coalesce(lag(trim(line) = '<!-- image -->') over w and head - lag(tail) over w = 2, false) or coalesce(lead(trim(line) = '<!-- image -->') over w and lead(head) over w - tail = 2, false) as near from ps window w as (partition by doc_id order by para)),
+out as (select doc_id, para from nb where near and regexp_matches(line, '(?i)^(?:fig(?:ure)?[\\s:.]|figure\\s*:)'))
+select doc_id, string_agg(line, chr(10) order by ln) as text from pl where blank or not exists (select 1 from out where out.doc_id = pl.doc_id and out.para = pl.para) group by doc_id"""
+)
 def remove_captions(spark: SparkSession, sf: str) -> DataFrame:
-    return merge.drop_plain_captions(_with_holes(spark, sf))
+    """Italic captions as plain paragraphs: those next to a placeholder go."""
+    holes = _with_holes(spark, sf)
+    return merge.drop_plain_captions(holes.select("doc_id", F.regexp_replace("text", r"(?m)^\*(Figure .*)\*$", "\n$1\n").alias("text")))
 
 
 @query(
@@ -652,7 +717,20 @@ def vector_topk(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("query_id", "vec_id", F.round("similarity", 6).alias("similarity"), "rank")
 
 
-@query()
+_HTML = "regexp_replace(html, '<!--.*?-->', ' ', 'gs')"
+for _tag in ("script", "style", "nav", "footer", "head", "aside"):
+    _HTML = rf"regexp_replace({_HTML}, '<{_tag}\b.*?</{_tag}\s*>', ' ', 'gsi')"
+_HTML = rf"regexp_replace({_HTML}, '\s+', ' ', 'g')"
+for _k in range(1, 7):
+    _HTML = rf"regexp_replace({_HTML}, '<h{_k}\b[^>]*>', chr(10) || '{'#' * _k} ', 'gi')"
+_HTML = rf"regexp_replace(regexp_replace({_HTML}, '<li\b[^>]*>', chr(10) || '- ', 'gi'), '</?(?:p|div|article|section|ul|ol|h[1-6]|li|tr|table|blockquote)\b[^>]*>', chr(10), 'gi')"
+_HTML = f"regexp_replace({_HTML}, '<[^>]*>', '', 'g')"
+for _name, _char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("nbsp", " "), ("amp", "&")):
+    _HTML = f"replace({_HTML}, '&{_name};', '{_char}')"
+_HTML = rf"select page_id as doc_id, regexp_replace(regexp_replace({_HTML}, '\n\s*\n*', chr(10), 'g'), '^\s+|\s+$', '', 'g') as text from pages"
+
+
+@query(_HTML)
 def html_markdown(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_html(spark, fixtures.read(spark, sf, "pages"))
 
@@ -683,11 +761,12 @@ def _raster_figures(spark: SparkSession, sf: str) -> DataFrame:
     return pipelines.raster_figures(_rasters(spark, sf), _page_dims(spark, sf), fixtures.captions(spark, sf))
 
 
-@query(
-    f"""with {_GRAPHICS}, r as (select *, row_number() over (partition by page order by obj_id) as no from g where obj_id % 150 >= 60),
-p as (select r.page, r.obj_id, cap.text, row_number() over (partition by r.page, r.obj_id order by cap.top - r.bottom, cap_id) as n from r join cap on r.page = cap.page and cap.top - r.bottom >= -2 and cap.top - r.bottom <= 35 and least(r.x1, cap.x1) - greatest(r.x0, cap.x0) >= 10)
-select r.page, r.top, r.bottom, coalesce(p.text, '') as caption, 'images/page' || r.page || '_img' || no || '.png' as path, (r.obj_id % 150)::int as width, 90 as height from r left join p on r.page = p.page and r.obj_id = p.obj_id and p.n = 1"""
-)
+_RASTERS = f"""{_GRAPHICS}, r as (select *, row_number() over (partition by page order by obj_id) as no from g where obj_id % 150 >= 60),
+p as (select r.page, r.obj_id, cap.text, row_number() over (partition by r.page, r.obj_id order by cap.top - r.bottom, cap_id) as n from r join cap on r.page = cap.page and cap.top - r.bottom >= -2 and cap.top - r.bottom <= 35 and least(r.x1, cap.x1) - greatest(r.x0, cap.x0) >= 10),
+ras as (select r.page, r.top, r.bottom, coalesce(p.text, '') as caption, 'images/page' || r.page || '_img' || no || '.png' as path, (r.obj_id % 150)::int as width, 90 as height from r left join p on r.page = p.page and r.obj_id = p.obj_id and p.n = 1)"""
+
+
+@query(f"with {_RASTERS} select page, top, bottom, caption, path, width, height from ras")
 def raster_figures(spark: SparkSession, sf: str) -> DataFrame:
     return _raster_figures(spark, sf).drop("doc_id")
 
@@ -697,12 +776,25 @@ def _vector_figures(spark: SparkSession, sf: str) -> DataFrame:
     return pipelines.vector_figures(lines_, fixtures.graphics(spark, sf), _page_dims(spark, sf), _raster_figures(spark, sf))
 
 
-@query()
+#: Pixels of a crop: 150 to the inch, six points around it, within pages of 612 by 800 points.
+_VECTORS = f"""{_RASTERS}, fc as (select * from cap where not exists (select 1 from ras where ras.page = cap.page and substr(ras.caption, 1, 30) = substr(cap.text, 1, 30))),
+best as (select fc.page, cap_id, fc.top as cap_top, text, cl.top as fig_top, cl.x0, cl.x1, row_number() over (partition by fc.page, cap_id order by cl.bottom desc, cl.top, cluster_id) as n from fc join cl on fc.page = cl.page and fc.top - cl.top >= 30),
+own as (select page, cap_id, text, fig_top as top, cap_top as bottom, x0, x1 from best where n = 1 and x1 - x0 >= 40),
+numbered as (select *, 'images/page' || page || '_fig' || row_number() over (partition by page order by bottom, cap_id) || '.png' as path from own),
+free as (select * from cl where not exists (select 1 from fc where fc.page = cl.page and fc.top - cl.top >= 30)),
+big as (select * from (select *, row_number() over (partition by page order by (bottom - top) * (x1 - x0) desc, cluster_id) as n from free) where n = 1),
+late as (select big.page, fc.text, big.top, big.bottom, big.x0, big.x1, row_number() over (partition by big.page order by fc.top, cap_id) as n from fc join big on fc.page - 1 = big.page where fc.top <= 240 and not exists (select 1 from own where own.cap_id = fc.cap_id)),
+figs as (select page, top, bottom, x0, x1, text, path from numbered union all select page, top, bottom, x0, x1, text, 'images/page' || page || '_figX.png' from late where n = 1),
+px as (select *, greatest(0, least(1275, trunc((x0 - 6) * 150 / 72)))::int as l, greatest(0, least(1275, trunc((x1 + 6) * 150 / 72)))::int as r, greatest(0, least(1666, trunc((top - 6) * 150 / 72)))::int as t, greatest(0, least(1666, trunc((bottom + 6) * 150 / 72)))::int as b from figs),
+vec as (select page, top, bottom, text as caption, path, r - l as width, b - t as height from px where r - l >= 10 and b - t >= 10)"""
+
+
+@query(f"with {_VECTORS} select page, top, bottom, caption, path, width, height from vec")
 def vector_figures(spark: SparkSession, sf: str) -> DataFrame:
     return _vector_figures(spark, sf).drop("doc_id")
 
 
-@query()
+@query(f"with {_VECTORS} select page, top, bottom, caption, path, width, height from ras union all select page, top, bottom, caption, path, width, height from vec")
 def all_images(spark: SparkSession, sf: str) -> DataFrame:
     return pipelines.images(_raster_figures(spark, sf), _vector_figures(spark, sf)).drop("doc_id")
 
