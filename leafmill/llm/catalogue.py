@@ -96,9 +96,32 @@ from placed
 """
 
 
+OP8_SQL = r"""
+with recursive words as (
+  select doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) as ws from documents
+), grams as (
+  select doc_id, unnest(list_distinct(case when len(ws) = 0 then [] when len(ws) < 4 then [array_to_string(ws, ' ')]
+    else list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) end)) as gram
+  from words
+), sizes as (
+  select w.doc_id, count(gram) as n from (select distinct doc_id from words) w left join grams g on g.doc_id = w.doc_id group by w.doc_id
+), sized as (
+  select g.doc_id, g.gram, n from grams g join sizes using (doc_id) where doc_id is not null
+), links as (
+  select a.doc_id as a, b.doc_id as b, count(*) as shared from sized a join sized b on a.gram = b.gram and a.doc_id <> b.doc_id and 100 * a.n >= 85 * b.n and 100 * b.n >= 85 * a.n
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach as (
+  select doc_id, doc_id as other from sizes union select reach.doc_id, links.b from reach join links on reach.other = links.a
+)
+select s.doc_id, n as n_shingles, component_id,
+  coalesce((select min(l.b) from links l join sizes o on o.doc_id = l.b where l.a = s.doc_id and l.b < s.doc_id and o.n = s.n and l.shared = s.n), s.doc_id) as class_id
+from sizes s join (select doc_id, min(other) as component_id from reach group by doc_id) using (doc_id)
+"""
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (op1_spotsigs, op2_mixing, op3_token_counts, op4_substrings, op5_licenses, op6_quality, op7_html_text, op8_jaccard_join, op9_secrets, op10_decontaminate)}
 
 
 def oracle_sql() -> dict:
-    return {"op2_mixing": OP2_SQL}
+    return {"op2_mixing": OP2_SQL, "op8_jaccard_join": OP8_SQL}
