@@ -10,9 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.functions.raster import contrast, png
 from leafmill.functions.session import materialize
 from leafmill.functions.text import render_table
 from leafmill.operators import blocks, chunks, fenced, figures, geometry, merge, tables
@@ -135,6 +138,33 @@ def render(found: DataFrame, crop: Callable[[object, int, tuple], tuple[bytes |
     return found.repartition(*PAGE).sortWithinPartitions(*PAGE).mapInPandas(run, f"{ddl}, content binary")
 
 
+def render_crops(boxes: DataFrame, page_pixels: Callable[[object, int], np.ndarray | None], blank: float = 15.0) -> DataFrame:
+    """(doc_id, page, path, content) of boxes (doc_id, page, path, box): PNG files of regions, without near-blank ones.
+
+    page_pixels(doc_id, page) draws a page as bytes of shape (height, width[, channels]), None if it can't; box is the
+    struct of figures.crop_box. Each page is drawn once for all its boxes. Rows without a box or a drawn page are left out.
+    """
+    kind = boxes.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        held, pixels = None, None
+        for batch in batches:
+            kept = []
+            for row in batch.to_pylist():
+                if (row["doc_id"], row["page"]) != held:
+                    held = (row["doc_id"], row["page"])
+                    pixels = page_pixels(*held)
+                box = row["box"]
+                if pixels is not None and contrast(crop := pixels[box["top"] : box["bottom"], box["left"] : box["right"]]) >= blank:
+                    kept.append((row["doc_id"], row["page"], row["path"], png(crop)))
+            columns = list(zip(*kept, strict=True)) or [[]] * 4
+            types = [*(batch.schema.field(n).type for n in ("doc_id", "page", "path")), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "page", "path", "content"])
+
+    rows = boxes.select("doc_id", F.col("page").cast("int").alias("page"), "path", "box").where("box is not null")
+    return rows.repartition(*PAGE).sortWithinPartitions(*PAGE).mapInArrow(run, f"doc_id {kind}, page int, path string, content binary")
+
+
 def images(raster: DataFrame, vector: DataFrame) -> DataFrame:
     """Both kinds of images, ordered by page and top."""
     return raster.unionByName(vector).orderBy("doc_id", "page", "top", "path")
