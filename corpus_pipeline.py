@@ -48,8 +48,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     order = F.struct(F.col("id").isNull().alias("unnamed"), "id", F.col(name).alias("at"))
     first = F.min(order).alias("first")
     found = materialize(found, "near-copies")
-    kept = found.groupBy("component_id").agg(first).select("component_id", F.col("first.at").alias("kept"))
-    copies = found.join(kept, "component_id").where(F.col(name) != F.col("kept")).select(name)
+    kept = found.groupBy("component_id").agg(first).select(F.col("first.at").alias(name))
+    copies = found.join(kept, name, "left_anti").select(name)  # by row: a large group is no key of this join
     return decontaminate.semi(rows, materialize(copies, "copies"), name, "left_anti").select(*docs.columns)
 
 
