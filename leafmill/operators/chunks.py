@@ -121,51 +121,74 @@ def _long_run(parts: list[dict], stop: int, cfg: Config) -> list[dict]:
     return out
 
 
-def assemble(blocks: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Chunks (doc_id, chunk_index, chunk_id, content, ...) of blocks.
+_ROWS = "array<struct<" + _ROW.replace(", ", ",").replace(" ", ":") + ">>"
 
-    chunk_id names the document, the place and the content of a chunk at this step; linking captions keeps it and
-    renumbers chunk_index. Documents without blocks have no chunks.
+
+def _run_rows(blocks: DataFrame) -> DataFrame:
+    """(doc_id, parts, atom, stop, size): a run is a hard block, if any, and the prose up to the next one.
+
+    parts are the prose blocks, size their joined length. All runs of a document come from one pass.
     """
-    kind = blocks.schema["doc_id"].dataType.simpleString()
     order = Window.partitionBy("doc_id").orderBy("block_id")
     hard = F.col("block_type").isin("heading", *ATOMIC)
     # stop: where the hard block that ends the run begins
     next_hard = F.first(F.when(hard, F.col("char_start")), ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
     paths = with_paths(blocks).select("*", F.sum(hard.cast("int")).over(order).alias("run"), F.coalesce(next_hard, F.col("total_chars")).alias("stop"))
 
-    # A run is a hard block, if any, and the prose up to the next one. All runs of a document come from one pass.
     part = F.struct("block_id", "content", "image_refs", "heading_path", "char_start", "char_end")
     size = F.sum(F.when(~hard, F.length("content") + 2)) - 2
     prose = F.array_sort(F.collect_list(F.when(~hard, part)))
     atom = F.struct("block_id", F.lit(0), "content", "heading_path", "block_type", "image_refs", "has_formula", "char_start", "char_end")
-    runs = paths.groupBy("doc_id", "run").agg(prose.alias("parts"), F.max(F.when(F.col("block_type").isin(*ATOMIC), atom)).alias("atom"), F.max("stop").alias("stop"), size.alias("size"))
-    row = "array<struct<" + _ROW.replace(", ", ",").replace(" ", ":") + ">>"
+    return paths.groupBy("doc_id", "run").agg(prose.alias("parts"), F.max(F.when(F.col("block_type").isin(*ATOMIC), atom)).alias("atom"), F.max("stop").alias("stop"), size.alias("size"))
+
+
+def _known(fits: Column) -> Column:
+    """Rows of a run that built-in expressions give: its atom, and its prose as one chunk where it fits."""
     one = F.array(
         F.struct(
             F.col("parts")[0]["block_id"], F.lit(0), F.array_join("parts.content", "\n\n"), F.col("parts")[0]["heading_path"], F.lit("paragraph"), F.flatten("parts.image_refs"), F.lit(False),
             F.col("parts")[0]["char_start"], F.col("stop"),
         )
     )
-    none = F.array().cast(row)
-    known = F.concat(F.when(F.col("atom").isNotNull(), F.array("atom").cast(row)).otherwise(none), F.when((F.size("parts") > 0) & (F.col("size") < cfg.max_chars), one.cast(row)).otherwise(none))
-    runs = runs.select("doc_id", known.alias("known"), F.when(F.col("size") >= cfg.max_chars, F.col("parts")).alias("long"), "stop")
+    none = F.array().cast(_ROWS)
+    return F.concat(F.when(F.col("atom").isNotNull(), F.array("atom").cast(_ROWS)).otherwise(none), F.when((F.size("parts") > 0) & fits, one.cast(_ROWS)).otherwise(none))
 
-    def pack(batches):
-        for batch in batches:
-            packed = [_long_run(p, s, cfg) if p else None for p, s in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, _ARROW)], ["doc_id", "known", "packed"])
 
-    packed = runs.mapInArrow(pack, f"doc_id {kind}, known {row}, packed {row}")
-    chunks = packed.select("doc_id", F.explode(F.concat("known", F.coalesce("packed", none))).alias("c")).select("doc_id", "c.*")
+def _numbered(rows: DataFrame, cfg: Config) -> DataFrame:
+    """Chunks of (doc_id, c), in order."""
     number = (F.row_number().over(Window.partitionBy("doc_id").orderBy("pos", "piece")) - 1).alias("chunk_index")
-    chunks = chunks.select("*", number)
+    chunks = rows.select("doc_id", "c.*").select("*", number)
     return chunks.select(
         "doc_id", chunk_id().alias("chunk_id"), "chunk_index", "content", page_of(F.col("image_refs"), F.col("char_start"), cfg.chars_per_page).alias("page_number"), "heading_path", "block_type",
         "image_refs", "has_formula", "char_start", "char_end", approx_tokens(F.col("content"), cfg.chars_per_token).alias("token_count"),
     )
 
 
+def sections(blocks: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """The chunks of assemble without a bound on their size: each run of prose is one chunk, however long; max_tokens and
+    overlap_tokens count for nothing."""
+    return _numbered(_run_rows(blocks).select("doc_id", F.explode(_known(F.lit(True))).alias("c")), cfg)
+
+
+def assemble(blocks: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Chunks (doc_id, chunk_index, chunk_id, content, ...) of blocks.
+
+    chunk_id names the document, the place and the content of a chunk at this step; linking captions keeps it and
+    renumbers chunk_index. Documents without blocks have no chunks.
+    """
+    kind = blocks.schema["doc_id"].dataType.simpleString()
+    known = _known(F.col("size") < cfg.max_chars)
+    runs = _run_rows(blocks).select("doc_id", known.alias("known"), F.when(F.col("size") >= cfg.max_chars, F.col("parts")).alias("long"), "stop")
+
+    def pack(batches):
+        for batch in batches:
+            packed = [_long_run(p, s, cfg) if p else None for p, s in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, _ARROW)], ["doc_id", "known", "packed"])
+
+    packed = runs.mapInArrow(pack, f"doc_id {kind}, known {_ROWS}, packed {_ROWS}")
+    return _numbered(packed.select("doc_id", F.explode(F.concat("known", F.coalesce("packed", F.array().cast(_ROWS)))).alias("c")), cfg)
+
+
 def chunk_id() -> Column:
     """Deterministic id of a chunk."""
     return F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.col("chunk_index").cast("string"), F.col("content")))
